@@ -52,7 +52,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [("quality", quality), ("toxicity", toxic), ("near_duplicates", near_duplicates), ("mixture", mixture), ("packing", pack)]
-#: Trained models and tokenizers have no SQL; tests/llm/test_pipeline.py checks the stages against brute force.
+#: Trained models and tokenizers have no SQL; tests/llm checks the operators behind the stages.
 ORACLE_SQL = None
 
 
