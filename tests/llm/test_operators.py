@@ -273,3 +273,37 @@ def test_html(spark):
     assert got[None].text == "" and got["v"].n_chars == 0 and got["x"].n_chars == 6 * 20_000 - 1
     assert htmltext.extract(f"<p>{html.escape('a < b')}</p>") == "a < b"
     assert htmltext.extract_pages(rows.limit(0)).count() == 0
+
+
+def test_near_copies_equal_brute_force(spark):
+    rng = np.random.default_rng(3)
+    vocabulary = [f"w{k}" for k in range(400)]
+    rows, sets = [], {}
+    for family in range(40):
+        base = rng.choice(vocabulary, int(rng.integers(6, 260))).tolist()
+        for _ in range(6):
+            words = list(base)
+            for at in rng.integers(0, len(words), int(rng.integers(0, 1 + len(words) // 25))):
+                words[at] = str(rng.choice(vocabulary))
+            rows.append((len(rows), " ".join(words)))
+    rows += [(len(rows), ""), (len(rows) + 1, None), (len(rows) + 2, "one"), (len(rows) + 3, "one")]
+    for i, text in rows:
+        w = (text or "").split()
+        sets[i] = {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+    parent = {i: i for i in sets}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in sets:
+        for j in range(i):
+            shared = len(sets[i] & sets[j])
+            if sets[i] == sets[j] or shared * 5 >= 4 * len(sets[i] | sets[j]):
+                a, b = sorted((root(i), root(j)))
+                parent[b] = a
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for tile in (4096, 3):
+        got = {r.doc_id: r.component_id for r in simhash.near_copies(docs, tile=tile).collect()}
+        assert got == {i: root(i) for i in sets}
