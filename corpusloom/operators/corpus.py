@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from corpusloom.functions import text as T
 from corpusloom.operators.components import components
+from corpusloom.storage import materialize
 
 
 def metrics(docs: DataFrame) -> DataFrame:
@@ -118,7 +119,7 @@ def minhash(docs: DataFrame, bands: int = 9, rows: int = 13, n: int = 5) -> Data
 
 def fuzzy_components(docs: DataFrame, bands: int = 9, rows: int = 13) -> DataFrame:
     """Near-duplicate components: members of a bucket link to its smallest document, then connected components."""
-    filed = minhash(docs, bands, rows)
+    filed = materialize(minhash(docs, bands, rows), "bands")  # read twice below
     heads = filed.groupBy("band", "bucket").agg(F.min("doc_id").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1")
     links = filed.join(heads, ["band", "bucket"]).where("doc_id <> head").select("doc_id", "head")
     return components(links)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,10 @@ from pyspark.sql.window import Window
 from corpusloom.functions import text as T
 from corpusloom.operators import corpus as C
 from corpusloom.operators import inventory as I
+from corpusloom.operators import structure as S
+from corpusloom.sources import records as R
+from corpusloom.storage import shared_dir
+from corpusloom.streaming.ingest import file_stream, ingest
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -421,6 +426,50 @@ def first_per_group(spark, sf_dir):
     return read(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.min_by("text", "turn").alias("first_text"))
 
 
+@query(
+    """WITH b AS (SELECT min(o_orderdate)::DATE AS low, max(o_orderdate)::DATE AS high FROM orders),
+w AS (SELECT unnest(range(0, date_diff('day', low, high) + 1, 30)) AS d, low, high FROM b),
+n AS (SELECT date_diff('day', low, o_orderdate::DATE) // 30 AS position, count(*) AS n FROM orders, b GROUP BY ALL)
+SELECT (d // 30)::BIGINT AS position, (low + d::INTEGER)::DATE AS first_day, least(low + d::INTEGER + 29, high)::DATE AS last_day, coalesce(n, 0)::BIGINT AS n FROM w LEFT JOIN n ON n.position = d // 30"""
+)
+def harvest_windows(spark, sf_dir):
+    orders = read(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("day"))
+    bounds = orders.agg(F.min("day").alias("low"), F.max("day").alias("high"))
+    place = F.floor(F.datediff("day", "low") / 30).alias("position")
+    n = orders.join(F.broadcast(bounds), how="cross").groupBy(place).agg(F.count(F.lit(1)).alias("n"))  # bounds is one row
+    return R.date_windows(bounds, 30).join(n, "position", "left").select("position", "first_day", "last_day", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+def _gate_sql() -> str:
+    leaves = {"documents": ("text", "lang", "source"), "conversations": ("role", "text"), "pages": ("url", "html")}
+    one = lambda t, c, d, p: f"SELECT '{t}' AS product, '{c}' AS path, '{d}' AS detector, coalesce(sum(len(regexp_extract_all({c}, '{p}'))), 0)::BIGINT AS hits FROM {t}"
+    return "SELECT * FROM (" + " UNION ALL ".join(one(t, c, d, p) for t, cs in leaves.items() for c in cs for d, p in S.DETECTORS.items()) + ") WHERE hits > 0"
+
+
+@query(_gate_sql())
+def pii_gate_hits(spark, sf_dir):
+    a, b, c = (S.gate_hits(read(spark, sf_dir, t), t) for t in ("documents", "conversations", "pages"))
+    return a.unionByName(b).unionByName(c)
+
+
+@query(
+    """WITH p AS (SELECT conv_id, turn, list_filter(list_transform(string_split(text, E'\\n'), lambda x: trim(x, ' ')), lambda x: x <> '') AS l FROM conversations),
+e AS (SELECT DISTINCT conv_id, turn, unnest(list_concat(l[1:2], l[-2:])) AS line FROM p),
+c AS (SELECT conv_id, line, count(*)::BIGINT AS n_pages FROM e WHERE length(line) BETWEEN 3 AND 120 GROUP BY ALL), n AS (SELECT conv_id, count(DISTINCT turn) AS pages FROM conversations GROUP BY conv_id)
+SELECT conv_id, line, n_pages FROM c JOIN n USING (conv_id) WHERE pages >= 4 AND n_pages >= greatest(floor(pages * 0.6::DOUBLE), 3)"""
+)
+def page_edge_lines(spark, sf_dir):
+    return S.page_edges(read(spark, sf_dir, "conversations"), "conv_id", "turn", "text")
+
+
+@query("SELECT event_type, count(*)::BIGINT AS n, min(event_id)::BIGINT AS first_event FROM (SELECT DISTINCT event_id, event_type FROM events) GROUP BY event_type")
+def streamed_events(spark, sf_dir):
+    into = f"{shared_dir(spark)}/events-{uuid.uuid4().hex}"
+    stream = file_stream(spark, sf_dir, read(spark, sf_dir, "events").schema, "parquet", "events.parquet")
+    taken = ingest(stream, f"{into}/table", ["event_id"], f"{into}/state")
+    return taken.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_event"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 
