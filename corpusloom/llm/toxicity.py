@@ -1,10 +1,11 @@
 """Toxicity by a bidirectional gated recurrent network with attention pooling, trained in numpy.
 
 A word enters as its own vector (frequent words of the training sample) beside the mean of vectors of its hashed
-character n-grams, so that unseen and inflected words are read by their letters. Windows of ``WINDOW`` words at
-every ``STRIDE`` words, which overlap by a quarter, cover each text from end to end; both directions run over a window, attention
-pools their states, and a document's score is its worst window's. Training knows documents' labels alone: each
-step takes the worst windows of each document under the present network. The first coordinate of the n-gram
+character n-grams, so that unseen and inflected words are read by their letters. Every window of ``WINDOW`` words is
+scored, one from each word on (``STRIDE`` 1), so that no verdict depends on where a passage stands; both directions run
+over a window, attention pools their states, and a document's score is its worst window's. Training knows documents'
+labels alone: each step takes the worst windows of each document under the present network, of those at every
+``TRAINING_STRIDE`` words. The first coordinate of the n-gram
 vectors starts at the n-grams' log odds in the sample, which tells the first steps where to look.
 
 Null and empty texts have no words; they are scored as one window of padding.
@@ -24,18 +25,20 @@ from corpusloom.llm.training import class_shares, held_out, labelled_sample
 
 #: Runs of ASCII letters and of any characters beyond ASCII, in ASCII-lowered UTF-8.
 WORD = re.compile(rb"[a-z\x80-\xff]+")
-WINDOW, STRIDE = 32, 24
+WINDOW, STRIDE = 32, 1
+TRAINING_STRIDE = 24  # of the windows that training chooses from
 HIDDEN, CHARS, WORDS = 8, 12, 6
 GRAM_BITS = 15
 LANES = 512  # windows that step together: their states stay in the processor's cache
+DENSE_LANES = 1024  # the same where windows start at every word
 MOST_LETTERS = 40  # of a word's letters, as many of its start and end enter the n-grams
 
 
-def windows(n: int) -> np.ndarray:
+def windows(n: int, stride: int = STRIDE) -> np.ndarray:
     """Starts of the overlapping windows over n words; the last one reaches the end."""
     if n <= WINDOW:
         return np.zeros(1, dtype=np.int64)
-    return np.append(np.arange(0, n - WINDOW, STRIDE), n - WINDOW)
+    return np.append(np.arange(0, n - WINDOW, stride), n - WINDOW)
 
 
 def word_grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -80,6 +83,16 @@ def squash(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def _squash_into(x: np.ndarray, q: np.ndarray, scale: np.float32) -> None:
+    """x becomes 9 scale squash(x), as scale x (1 + 24 / (3 + x^2)); q is room to work in."""
+    np.clip(x, np.float32(-3), np.float32(3), out=x)
+    np.multiply(x, x, out=q)
+    q += np.float32(3)
+    np.divide(np.float32(24) * scale, q, out=q)
+    q += scale
+    x *= q
+
+
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-x))
 
@@ -159,6 +172,52 @@ class Network:
         logit = self.p["u"] @ pooled + self.p["c"][0]
         return (logit, states, weight, pooled, kept) if keep else logit
 
+    def dense(self, inputs: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """Logits of the windows that start at each of ``ids``, rows of ``inputs`` without padding, as long as one fits.
+
+        Neighbours' inputs overlap, so a step reads a slice in place of a gather; of the states, attention needs two
+        numbers each, which the next step's product brings along.
+        """
+        half = np.ones(3 * HIDDEN, dtype=np.float32)
+        half[: 2 * HIDDEN] = 0.5  # sigmoid(x) = (1 + tanh(x / 2)) / 2
+        steps = []
+        for s, name in ((0, "f"), (1, "b")):
+            own = slice(HIDDEN * s, HIDDEN * (s + 1))
+            u = np.concatenate([self.p[f"U{name}"].T * half[:, None], self.p["a"][None, own], self.p["u"][None, own]])
+            steps.append((slice(3 * HIDDEN * s, 3 * HIDDEN * (s + 1)), np.ascontiguousarray(u, dtype=np.float32), range(WINDOW) if not s else range(WINDOW - 1, -1, -1)))
+        out = np.empty(len(ids) - WINDOW + 1, dtype=np.float32)
+        for lo in range(0, len(out), DENSE_LANES):
+            n = min(DENSE_LANES, len(out) - lo)
+            block = np.ascontiguousarray(inputs.take(ids[lo : lo + n + WINDOW - 1], axis=0).T)
+            score, value = np.zeros((WINDOW, n), dtype=np.float32), np.zeros((WINDOW, n), dtype=np.float32)
+            product = np.empty((3 * HIDDEN + 2, n), dtype=np.float32)
+            q, zr, c = (np.empty((k * HIDDEN, n), dtype=np.float32) for k in (2, 2, 1))
+            for cols, u, order in steps:
+                x = block[cols] * half[:, None]
+                h, before = np.zeros((HIDDEN, n), dtype=np.float32), None
+                for t in order:
+                    np.matmul(u, h, out=product)
+                    if before is not None:
+                        score[before] += product[-2]
+                        value[before] += product[-1]
+                    np.add(x[: 2 * HIDDEN, t : t + n], product[: 2 * HIDDEN], out=zr)
+                    _squash_into(zr, q, np.float32(1 / 18))
+                    zr += np.float32(0.5)
+                    np.multiply(zr[HIDDEN:], product[2 * HIDDEN : 3 * HIDDEN], out=c)
+                    c += x[2 * HIDDEN :, t : t + n]
+                    _squash_into(c, q[:HIDDEN], np.float32(1 / 9))
+                    h -= c
+                    h *= zr[:HIDDEN]
+                    h += c
+                    before = t
+                score[before] += u[-2] @ h
+                value[before] += u[-1] @ h
+            score -= score.max(0)
+            np.exp(score, out=score)
+            value *= score
+            out[lo : lo + n] = value.sum(0) / score.sum(0) + self.p["c"][0]
+        return out
+
     def backward(self, at: np.ndarray, saved, error: np.ndarray) -> tuple[dict, np.ndarray, np.ndarray]:
         """Gradients of parameters but C and E; rows of the inputs in use, and their gradients."""
         _, states, weight, pooled, kept = saved
@@ -240,7 +299,7 @@ def train(sample: list[tuple[bytes, int]], share: float, epochs: int = 5, batch:
                 ids = inverse[first : first + len(rows[i])] + 1
                 first += len(rows[i])
                 padded = np.concatenate([ids, np.zeros(WINDOW, dtype=np.int64)])
-                begins = windows(len(ids))
+                begins = windows(len(ids), TRAINING_STRIDE)
                 at.append(padded[begins[:, None] + np.arange(WINDOW)])
                 of += [j] * len(begins)
             at, of = np.concatenate(at), np.array(of)
@@ -307,16 +366,20 @@ class Scorer:
         self._learn(sorted(unknown))
         get = self.rows.__getitem__
         best = np.full(len(batch), -np.inf)
-        at, of = [], []
-        for j, words in enumerate(tokens):
-            ids = np.fromiter(map(get, words), dtype=np.int64, count=len(words))
-            padded = np.concatenate([ids, np.zeros(max(0, WINDOW - len(ids)), dtype=np.int64)])
-            begins = windows(len(ids))
-            at.append(padded[begins[:, None] + np.arange(WINDOW)])
-            of.append(np.full(len(begins), j))
-        at, of = np.concatenate(at), np.concatenate(of)
+        short = [j for j, words in enumerate(tokens) if len(words) < WINDOW]
+        at = np.zeros((len(short), WINDOW), dtype=np.int64)
+        for row, j in enumerate(short):
+            at[row, : len(tokens[j])] = [get(w) for w in tokens[j]]
         for lo in range(0, len(at), LANES):
-            np.maximum.at(best, of[lo : lo + LANES], self.net.forward(self.table, at[lo : lo + LANES]))
+            best[short[lo : lo + LANES]] = self.net.forward(self.table, at[lo : lo + LANES])
+        # the others one behind the other; windows that reach into the next text do not count
+        long = [j for j, words in enumerate(tokens) if len(words) >= WINDOW]
+        if long:
+            sizes = np.array([len(tokens[j]) for j in long])
+            ids = np.fromiter((get(w) for j in long for w in tokens[j]), dtype=np.int64, count=sizes.sum())
+            logit = np.append(self.net.dense(self.table, ids), np.full(WINDOW - 1, -np.inf, dtype=np.float32))
+            first = np.cumsum(sizes) - sizes
+            best[long] = np.maximum.reduceat(logit, np.stack([first, first + sizes - WINDOW + 1], axis=1).ravel())[::2]
         return sigmoid(np.clip(best, -30, 30)).tolist()
 
 

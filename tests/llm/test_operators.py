@@ -205,6 +205,25 @@ def test_toxicity_learns_letters_and_scores_every_window():
     assert scorer.score([late])[0] > 0.5
 
 
+def test_toxicity_scores_every_window():
+    rng = np.random.default_rng(10)
+    word = lambda: "".join("aeioubcdfg"[k] for k in rng.integers(0, 10, 5)).encode()
+    net = toxicity.Network({})
+    scorer = toxicity.Scorer(net)
+    texts = [[word() for _ in range(n)] for n in (0, 1, 31, 32, 33, 56, 300, 5, 1500)]
+    got = scorer.score([b" ".join(w) for w in texts])
+    for words, score in zip(texts, got, strict=True):
+        ids = np.array([scorer.rows[w] for w in words] + [0] * max(0, 32 - len(words)))
+        at = np.array([ids[i : i + 32] for i in range(max(1, len(words) - 31))])
+        assert abs(score - toxicity.sigmoid(net.forward(scorer.table, at).max())) < 1e-5
+    # the same passage among the same words has one verdict wherever it starts
+    base, bad = [word() for _ in range(400)], [b"zzyx" + word()[:2] for _ in range(24)]
+    assert toxicity.windows(400).tolist() == list(range(369))
+    wide = [base[:k] + base[:31] + bad + base[:31] for k in range(24)]
+    inside = scorer.score([b" ".join(base[:31] + bad + base[:31])])[0]
+    assert min(scorer.score([b" ".join(w) for w in wide])) >= inside - 1e-5
+
+
 def test_windows_reach_the_end():
     for n in (0, 1, 31, 32, 33, 56, 57, 1000):
         w = toxicity.windows(n)
