@@ -8,6 +8,10 @@ labels alone: each step takes the worst windows of each document under the prese
 ``TRAINING_STRIDE`` words. The first coordinate of the n-gram
 vectors starts at the n-grams' log odds in the sample, which tells the first steps where to look.
 
+Words are runs of ASCII letters and of characters beyond ASCII, without Unicode's spaces and punctuation. A run of more
+than ``MOST_BYTES`` bytes, as of scripts that leave no spaces between words, becomes several overlapping words, so that
+each of its bytes and n-grams enters a window.
+
 Null and empty texts have no words; they are scored as one window of padding.
 """
 
@@ -25,13 +29,28 @@ from corpusloom.llm.training import class_shares, held_out, labelled_sample
 
 #: Runs of ASCII letters and of any characters beyond ASCII, in ASCII-lowered UTF-8.
 WORD = re.compile(rb"[a-z\x80-\xff]+")
+#: Spaces and punctuation beyond ASCII: Latin-1's, the general and supplemental blocks, those of East Asian scripts and full width.
+BETWEEN = re.compile(rb"\xc2[\x80-\xa9\xab-\xb1\xb4\xb6-\xb8\xbb-\xbf]|\xe2(?:\x80[\x80-\x8a\x8e-\xbf]|\x81[\x80-\x9f]|[\xb8\xb9][\x80-\xbf])|\xe3\x80[\x80-\x84\x88-\x9f\xb0]|\xe3\x83\xbb|\xef(?:\xb8[\xb0-\xbf]|\xb9[\x80-\xaf]|\xbc[\x81-\x8f\x9a-\xa0\xbb-\xbf]|\xbd[\x80\x9b-\xa5])")
 WINDOW, STRIDE = 32, 1
 TRAINING_STRIDE = 24  # of the windows that training chooses from
 HIDDEN, CHARS, WORDS = 8, 12, 6
 GRAM_BITS = 15
 LANES = 512  # windows that step together: their states stay in the processor's cache
 DENSE_LANES = 1024  # the same where windows start at every word
-MOST_LETTERS = 40  # of a word's letters, as many of its start and end enter the n-grams
+MOST_BYTES = 80  # of one word; longer runs are pieces of PIECE bytes, one from every PIECE_STEP bytes on
+PIECE, PIECE_STEP = 48, 24
+
+
+def words_of(text: bytes) -> list[bytes]:
+    """The words of a text; all bytes of a long run are in its pieces, and any PIECE - PIECE_STEP in a row in one of them."""
+    text = text.lower()
+    found = WORD.findall(text if text.isascii() else BETWEEN.sub(b" ", text))
+    if max(map(len, found), default=0) <= MOST_BYTES:
+        return found
+    out = []
+    for w in found:
+        out += [w] if len(w) <= MOST_BYTES else [w[i : i + PIECE] for i in range(0, len(w) - PIECE_STEP, PIECE_STEP)]
+    return out
 
 
 def windows(n: int, stride: int = STRIDE) -> np.ndarray:
@@ -45,7 +64,7 @@ def word_grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashed columns of the words' 3- to 5-grams of bytes, ends marked, word by word; where each word's begin."""
     if not words:
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-    marked = [b"<%b>" % (w if len(w) <= 2 * MOST_LETTERS else w[:MOST_LETTERS] + b"~" + w[-MOST_LETTERS:]) for w in words]
+    marked = [b"<%b>" % w for w in words]
     sizes = np.fromiter(map(len, marked), dtype=np.int64, count=len(marked))
     b = np.frombuffer(b"".join(marked), dtype=np.uint8).astype(np.uint64)
     word = np.repeat(np.arange(len(words)), sizes)
@@ -262,7 +281,7 @@ def log_odds(sample: list[tuple[list[bytes], int]], smoothing: float = 2.0) -> n
 
 def train(sample: list[tuple[bytes, int]], share: float, epochs: int = 5, batch: int = 32, rate: float = 0.01, seed: int = 7) -> Network:
     """A network fitted on (text, label) by Adam; ``share`` of label 1 moves the bias from the balanced sample's to the corpus's."""
-    docs = [(WORD.findall(t.lower()), y) for t, y in sample]
+    docs = [(words_of(t), y) for t, y in sample]
     docs = [(w, y) for w, y in docs if w]
     counts: dict[bytes, int] = {}
     for w, _ in docs:
@@ -361,7 +380,7 @@ class Scorer:
     def score(self, batch: list[bytes]) -> list[float]:
         if self.used > self.memory:
             self.rows, self.used = {}, 1
-        tokens = [WORD.findall(t.lower()) for t in batch]
+        tokens = [words_of(t) for t in batch]
         unknown = set().union(*tokens).difference(self.rows) if tokens else set()
         self._learn(sorted(unknown))
         get = self.rows.__getitem__

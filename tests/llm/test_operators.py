@@ -224,6 +224,21 @@ def test_toxicity_scores_every_window():
     assert min(scorer.score([b" ".join(w) for w in wide])) >= inside - 1e-5
 
 
+def test_toxicity_reads_all_of_long_runs():
+    rng = np.random.default_rng(11)
+    signs = lambda n: "".join(chr(0x4E00 + k) for k in rng.integers(0, 300, n))
+    bad = "".join(chr(0x6E00 + k) for k in range(6))
+    text = lambda toxic, n=200: signs(n) + (bad if toxic else signs(6)) + signs(n)
+    for run in (text(True), "naïve" * 100, "x" * 81, "é" * 41):
+        run = run.encode()
+        pieces = toxicity.words_of(run)
+        assert all(any(run[i : i + 24] in p for p in pieces) for i in range(len(run) - 23))
+    assert toxicity.words_of("one\u00a0two\u2014three\u3000四。five".encode()) == ["one".encode(), b"two", b"three", "四".encode(), b"five"]
+    net = toxicity.train([(text(i % 2).encode(), i % 2) for i in range(240)], 0.5)
+    scores = np.array(toxicity.Scorer(net).score([text(i % 2, 300 + i).encode() for i in range(60)]))
+    assert ((scores > 0.5) == np.arange(60) % 2).mean() > 0.9
+
+
 def test_windows_reach_the_end():
     for n in (0, 1, 31, 32, 33, 56, 57, 1000):
         w = toxicity.windows(n)
