@@ -5,7 +5,8 @@ the targets; a cell's factor (raked over observed share) gives each of its docum
 so that the expected number of tokens is the asked share, with probabilities at most 1. Documents are then drawn
 independently by a hash, which gives the same sample on every run.
 
-Topics are clusters of hashed three-byte profiles around centroids fitted on a bounded sample. Null source or language
+Topics are clusters of hashed three-byte profiles around centroids fitted on all documents: profiles are written once,
+and each round of k-means adds up its clusters' profiles partition by partition. Null source or language
 is a category of its own; null and empty texts have no tokens and a topic of their own, and are drawn as their
 cell is. Rows that repeat doc_id and text share one draw. Categories beyond the ``most_categories`` largest are raked together.
 """
@@ -18,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.arrow import texts, wider
+from corpusloom.storage import materialize
 
 BINS = 1024
 OTHER = "\x00other"
@@ -25,14 +27,24 @@ NONE = "\x00none"
 AXES = ("source", "lang", "topic")
 
 
-def profile(text: bytes) -> np.ndarray:
-    """Damped counts of hashed three-byte windows of the ASCII-lowered text, of unit length."""
+def counts(text: bytes) -> np.ndarray:
+    """Counts of hashed three-byte windows of the ASCII-lowered text."""
     b = np.frombuffer(text.lower(), dtype=np.uint8).astype(np.uint32)
     if len(b) < 3:
-        return np.zeros(BINS)
+        return np.zeros(BINS, dtype=np.int64)
     g = (b[:-2] << np.uint32(16) | b[1:-1] << np.uint32(8) | b[2:]) * np.uint32(2654435761) >> np.uint32(22)
-    x = np.log1p(np.bincount(g, minlength=BINS))
-    return x / (np.sqrt(x @ x) or 1.0)
+    return np.bincount(g, minlength=BINS)
+
+
+def damped(n: np.ndarray) -> np.ndarray:
+    """Logarithms of rows of counts, each row of unit length."""
+    x = np.log1p(n)
+    return x / np.maximum(np.sqrt((x * x).sum(-1, keepdims=True)), 1e-12)
+
+
+def profile(text: bytes) -> np.ndarray:
+    """Damped counts of a text, of unit length."""
+    return damped(counts(text))
 
 
 def token_count(text: bytes) -> int:
@@ -42,33 +54,106 @@ def token_count(text: bytes) -> int:
     return int((~space[1:] & space[:-1]).sum() + (len(b) > 0 and not space[0]))
 
 
-def centroids(sample: list[bytes], topics: int, rounds: int = 12) -> np.ndarray:
-    """Spherical k-means; starts from the farthest points, so that it needs no random numbers. One row for each topic found."""
-    x = np.array([profile(t) for t in sample if len(t) >= 3])
-    if not len(x):
+def _profiles(docs: DataFrame) -> DataFrame:
+    """id, tie, n: counts of each text of three bytes or more, in 16 bits each where they fit, else in 64."""
+
+    def run(batches):
+        for batch in batches:
+            t = list(texts(batch.column(2)))
+            use = np.array([len(x) >= 3 for x in t], dtype=bool)
+            n = [counts(x) for x, u in zip(t, use, strict=True) if u]
+            packed = pa.array([(x.astype(np.uint16) if x.max() < 1 << 16 else x.astype(np.int64)).tobytes() for x in n], type=pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(use)), batch.column(1).filter(pa.array(use)), packed], names=["id", "tie", "n"])
+
+    last = F.lit(2**63 - 1)
+    keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), last).alias("id"), F.xxhash64("text").alias("tie"), "text")
+    return keyed.mapInArrow(run, "id long, tie long, n binary")
+
+
+def _unpacked(n: bytes) -> np.ndarray:
+    return np.frombuffer(n, dtype=np.uint16 if len(n) == 2 * BINS else np.int64).astype(np.int64)
+
+
+def _slices(column, rows: int = 512):
+    """First row and damped profiles of each slice of a batch."""
+    held = list(texts(column))
+    for lo in range(0, len(held), rows):
+        yield lo, damped(np.array([_unpacked(n) for n in held[lo : lo + rows]]))
+
+
+def _farthest(profiles: DataFrame, chosen: np.ndarray):
+    """The row that is least like its nearest of ``chosen``, the first by id and tie."""
+
+    def run(batches):
+        best = None
+        for batch in batches:
+            ids, ties = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for lo, x in _slices(batch.column(2)):
+                near = np.round((x @ chosen.T).max(1), 9)
+                low = near.min()
+                k = min((lo + int(i) for i in np.flatnonzero(near == low)), key=lambda i: (ids[i], ties[i]))
+                if best is None or (low, ids[k], ties[k]) < best[:3]:
+                    best = (float(low), ids[k], ties[k], batch.column(2)[k].as_py())
+        if best is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([v]) for v in best], names=["near", "id", "tie", "n"])
+
+    return profiles.mapInArrow(run, "near double, id long, tie long, n binary").orderBy("near", "id", "tie").limit(1).collect()
+
+
+def _sums(profiles: DataFrame, c: np.ndarray) -> np.ndarray:
+    """Sum of the profiles nearest to each centroid, in steps of 2^-32: whole numbers add up alike in any order."""
+
+    def emit(total):
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], type=pa.binary())], names=["total"])
+
+    def run(batches):
+        total = np.zeros(c.shape, dtype=np.int64)
+        for batch in batches:
+            for _, x in _slices(batch.column(2)):
+                to = np.round(x @ c.T, 9).argmax(1)
+                whole = np.rint(x * 2.0**32).astype(np.int64)
+                for k in np.unique(to):
+                    total[k] += whole[to == k].sum(0)
+        yield from emit(total)
+
+    def merge(batches):
+        total = np.zeros(c.shape, dtype=np.int64)
+        for batch in batches:
+            for b in texts(batch.column(0)):
+                total += np.frombuffer(b, dtype=np.int64).reshape(c.shape)
+        yield from emit(total)
+
+    sums, parts = profiles.mapInArrow(run, "total binary"), profiles.rdd.getNumPartitions()
+    if parts > 64:  # the driver gets about the square root of them
+        sums = sums.repartition(int(np.ceil(np.sqrt(parts)))).mapInArrow(merge, "total binary")
+    return sum((np.frombuffer(r.total, dtype=np.int64).reshape(c.shape) for r in sums.toLocalIterator()), np.zeros(c.shape, dtype=np.int64))
+
+
+def topic_centroids(docs: DataFrame, topics: int = 8, rounds: int = 12) -> np.ndarray:
+    """Spherical k-means over all documents; starts from the farthest points, so that it needs no random numbers.
+
+    One row for each topic found: distinct profiles may be fewer than ``topics``.
+    """
+    profiles = materialize(_profiles(docs), "profiles")
+    first = profiles.orderBy("id", "tie").limit(1).collect()
+    if not first:
         return np.zeros((1, BINS))
-    chosen = [0]
-    near = x @ x[0]
-    for _ in range(min(topics, len(x)) - 1):
-        chosen.append(int(near.argmin()))
-        near = np.maximum(near, x @ x[chosen[-1]])
-    c = x[chosen]
+    c = damped(_unpacked(first[0].n))[None]
+    while len(c) < topics:
+        (r,) = _farthest(profiles, c)
+        if r.near >= 1 - 1e-9:
+            break
+        c = np.concatenate([c, damped(_unpacked(r.n))[None]])
     for _ in range(rounds):
-        to = (x @ c.T).argmax(1)
-        c = np.array([x[to == k].sum(0) if (to == k).any() else c[k] for k in range(len(c))])
-        c /= np.maximum(np.sqrt((c * c).sum(1, keepdims=True)), 1e-12)
+        total = _sums(profiles, c).astype(np.float64)
+        new = np.where(total.any(1, keepdims=True), total, c)
+        new /= np.maximum(np.sqrt((new * new).sum(1, keepdims=True)), 1e-12)
+        if np.array_equal(new, c):
+            break
+        c = new
     return c
 
 
-def topic_centroids(docs: DataFrame, topics: int = 8, most: int = 1500, most_chars: int = 50_000) -> np.ndarray:
-    """Fitted on at most ``most`` documents of at most ``most_chars`` characters, by a hash of the id."""
-    order = F.xxhash64(F.col("doc_id").cast("long"), F.lit(23))
-    ids = docs.where(F.col("doc_id").isNotNull()).select("doc_id").distinct().orderBy(order, "doc_id").limit(most)
-    rows = docs.select("doc_id", "text").where(F.length("text") <= most_chars).join(F.broadcast(ids), "doc_id").collect()
-    rows.sort(key=lambda r: (r.doc_id, r.text))
-    return centroids([r.text.encode() for r in rows], topics)
-
-
 def describe(docs: DataFrame, fitted: np.ndarray) -> DataFrame:
     """``docs`` with topic (-1 for texts too short to have one) and tokens."""
     fields = [f for f in docs.schema.names if f not in ("topic", "tokens", "weight", "probability", "sampled")]

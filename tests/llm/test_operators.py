@@ -72,6 +72,27 @@ def test_mixing(spark, odd, none):
     assert abs((p * x).sum() - 0.4 * x.sum()) < 1e-6 * x.sum()
 
 
+def test_topics_are_fitted_on_all_documents(spark):
+    rng = np.random.default_rng(12)
+    topic = lambda letters, n: " ".join("".join(rng.choice(list(letters), 4)) for _ in range(n))
+    rows = [(i, topic("abcdefgh", 30) if i % 2 else topic("ijklmnop", 30)) for i in range(1700)]
+    rows += [(5000 + i, topic("qr", 12_000)) for i in range(2)]  # rare and long
+    docs = spark.createDataFrame([*rows, (None, "yz" * 40), (1, None), (2, "ab")], "doc_id long, text string").repartition(5)
+    got = mixing.topic_centroids(docs, topics=4)
+    x = np.array([mixing.profile(t.encode()) for _, t in [*rows, (None, "yz" * 40)]])
+    c, near = x[:1], x @ x[0]
+    for _ in range(3):
+        c = np.concatenate([c, x[[near.argmin()]]])
+        near = np.maximum(near, x @ c[-1])
+    for _ in range(12):
+        to = (x @ c.T).argmax(1)
+        c = np.array([x[to == k].sum(0) if (to == k).any() else c[k] for k in range(len(c))])
+        c /= np.sqrt((c * c).sum(1, keepdims=True))
+    assert got.shape == c.shape and np.allclose(got, c, atol=1e-6)
+    to = (x @ got.T).argmax(1)
+    assert to[-3] == to[-2] and (to == to[-2]).sum() == 2
+
+
 def test_packing_round_trip(odd, none):
     import public_tokenizers
     from tokenizers import Tokenizer
