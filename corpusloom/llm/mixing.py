@@ -8,7 +8,8 @@ independently by a hash, which gives the same sample on every run.
 Topics are clusters of hashed three-byte profiles around centroids fitted on all documents: profiles are written once,
 and each round of k-means adds up its clusters' profiles partition by partition. Null source or language
 is a category of its own; null and empty texts have no tokens and a topic of their own, and are drawn as their
-cell is. Rows that repeat doc_id and text share one draw. Categories beyond the ``most_categories`` largest are raked together.
+cell is. Rows that repeat doc_id and text share one draw. Every category is raked for itself: on the driver up to ``most_cells``
+cells, beyond that by aggregations over the table of cells.
 """
 
 from __future__ import annotations
@@ -22,7 +23,6 @@ from corpusloom.llm.arrow import texts, wider
 from corpusloom.storage import materialize
 
 BINS = 1024
-OTHER = "\x00other"
 NONE = "\x00none"
 AXES = ("source", "lang", "topic")
 
@@ -199,31 +199,22 @@ def calibrate(tokens: np.ndarray, factor: np.ndarray, share: float) -> np.ndarra
     return np.minimum(1, hi * factor)
 
 
-def _category(name: str, kept: list[str]):
-    value = F.coalesce(F.col(name).cast("string"), F.lit(NONE))
-    return F.when(value.isin(kept), value).otherwise(F.lit(OTHER)) if kept else F.lit(OTHER)
+def _category(name: str):
+    return F.coalesce(F.col(name).cast("string"), F.lit(NONE)).alias(f"_{name}")
 
 
-def mix(described: DataFrame, share: float = 0.5, temper: float = 0.5, targets: dict[str, dict] | None = None, most_categories: int = 100, seed: int = 42) -> DataFrame:
-    """``described`` with weight, probability and sampled.
+KEYS = [f"_{a}" for a in AXES]
+CELLS = "_source string, _lang string, _topic string, weight double, probability double"
 
-    ``targets`` maps an axis to the weights of its categories; an axis without them takes its observed shares to the
-    power ``temper``. Cells are at most (categories + 1) of each axis multiplied, whatever the number of documents.
-    """
-    targets = targets or {}
-    named = described.select(*[F.coalesce(F.col(a).cast("string"), F.lit(NONE)).alias(a) for a in AXES], "tokens")
-    kept = {}
-    for a in AXES:
-        top = named.groupBy(a).agg(F.sum("tokens").alias("n")).orderBy(F.desc("n"), a).limit(most_categories).collect()
-        kept[a] = sorted({r[a] for r in top} | {str(k) for k in targets.get(a, {})})
-    cells = described.groupBy(*[_category(a, kept[a]).alias(f"_{a}") for a in AXES]).agg(F.sum("tokens").alias("n")).collect()
-    rows = sorted([tuple(r[f"_{a}"] for a in AXES) + (int(r["n"] or 0),) for r in cells])
+
+def _raked(cells: DataFrame, share: float, temper: float, targets: dict[str, dict]) -> DataFrame:
+    """Weight and probability of each cell, computed on the driver."""
+    rows = sorted(tuple(r[k] for k in KEYS) + (int(r["n"]),) for r in cells.collect())
     tokens = np.array([r[3] for r in rows], dtype=np.float64)
     if tokens.sum() > 0:
         places, wanted = [], []
         for k, a in enumerate(AXES):
-            names = sorted({r[k] for r in rows})
-            place = np.array([names.index(r[k]) for r in rows])
+            names, place = np.unique(np.array([r[k] for r in rows], dtype=object), return_inverse=True)
             observed = np.bincount(place, weights=tokens, minlength=len(names))
             goal = {str(x): w for x, w in targets.get(a, {}).items()}
             target = np.array([goal.get(x, 0.0) for x in names]) if goal else (observed / observed.sum()) ** temper
@@ -232,16 +223,75 @@ def mix(described: DataFrame, share: float = 0.5, temper: float = 0.5, targets:
             wanted.append(target if target.sum() > 0 else observed)
         raked = rake(tokens, places, wanted)
         factor = np.divide(raked, tokens / tokens.sum(), out=np.ones_like(raked), where=tokens > 0)
+        probability = calibrate(tokens, factor, share)
     else:
-        factor = np.ones(len(rows))
-    probability = calibrate(tokens, factor, share) if tokens.sum() > 0 else np.full(len(rows), share)
-    spark = described.sparkSession
-    # at most the product of the axes' bounded categories
-    table = spark.createDataFrame([(*r[:3], float(f), float(p)) for r, f, p in zip(rows, factor, probability, strict=True)], "_source string, _lang string, _topic string, weight double, probability double")
-    keyed = described
-    for a in AXES:
-        keyed = keyed.withColumn(f"_{a}", _category(a, kept[a]))
-    out = keyed.join(F.broadcast(table), [f"_{a}" for a in AXES], "left").drop(*[f"_{a}" for a in AXES])
+        factor, probability = np.ones(len(rows)), np.full(len(rows), share)
+    made = [(*r[:3], float(f), float(p)) for r, f, p in zip(rows, factor, probability, strict=True)]
+    return F.broadcast(cells.sparkSession.createDataFrame(made, CELLS))
+
+
+def _raked_in_frames(cells: DataFrame, share: float, temper: float, targets: dict[str, dict], rounds: int = 500, tolerance: float = 1e-9) -> DataFrame:
+    """The same by aggregations, for any number of cells: a factor for each category of an axis, fitted in turn."""
+    spark = cells.sparkSession
+    total = float(cells.agg(F.sum("n")).first()[0] or 0)
+    if not total:
+        return cells.select(*KEYS, F.lit(1.0).alias("weight"), F.lit(share).cast("double").alias("probability"))
+    factors = {}
+    for a, k in zip(AXES, KEYS, strict=True):
+        observed = cells.groupBy(k).agg((F.sum("n") / total).alias("x"))
+        goal = [(str(x), float(w)) for x, w in targets.get(a, {}).items()]
+        if goal:
+            found = observed.join(spark.createDataFrame(goal, f"{k} string, w double"), k, "left").withColumn("t", F.coalesce("w", F.lit(0.0)))
+        else:
+            found = observed.withColumn("t", F.pow("x", F.lit(float(temper))))
+        found = found.withColumn("t", F.when(F.col("x") > 0, F.col("t")).otherwise(0.0))
+        all_of = float(found.agg(F.sum("t")).first()[0])
+        goal_share = F.col("t") / all_of if all_of > 0 else F.col("x")
+        factors[k] = materialize(found.select(k, goal_share.alias(f"t{k}"), F.lit(1.0).alias(f"f{k}")), "factors")
+
+    def weighed():
+        x = cells
+        for k in KEYS:
+            x = x.join(factors[k], k)
+        return x.withColumn("raked", F.col("n") / total * F.col("f_source") * F.col("f_lang") * F.col("f_topic"))
+
+    for _ in range(rounds):
+        worst = 0.0
+        for k in KEYS:
+            now = weighed().groupBy(k, f"t{k}", f"f{k}").agg(F.sum("raked").alias("now"))
+            ratio = F.when(F.col("now") > 0, F.col(f"t{k}") / F.col("now")).otherwise(1.0)
+            table = materialize(now.select(k, f"t{k}", (F.col(f"f{k}") * ratio).alias(f"f{k}"), F.abs(F.col("now") - F.col(f"t{k}")).alias("off")), "factors")
+            worst = max(worst, float(table.agg(F.max("off")).first()[0]))
+            factors[k] = table.drop("off")
+        if worst < tolerance:
+            break
+    weight = F.when(F.col("n") > 0, F.col("f_source") * F.col("f_lang") * F.col("f_topic")).otherwise(1.0)
+    done = materialize(weighed().select(*KEYS, "n", weight.alias("weight")), "cells")
+    # the scale between two powers of two, then 64 parts of the interval at a time
+    goal, lo, hi = share * total, 0.0, 2.0**60
+    reach = lambda scales: [float(x) for x in done.agg(*[F.sum(F.col("n") * F.least(F.lit(1.0), F.lit(s) * F.col("weight"))).alias(f"r{i}") for i, s in enumerate(scales)]).first()]
+    grid = [2.0**k for k in range(-20, 61)]
+    for _ in range(10):
+        got = reach(grid)
+        over = next((i for i, r in enumerate(got) if r >= goal * (1 - 1e-12)), None)
+        if over is None:
+            break
+        hi, lo = grid[over], grid[over - 1] if over else lo
+        grid = [lo + (hi - lo) * k / 64 for k in range(1, 65)]
+    return done.select(*KEYS, "weight", F.least(F.lit(1.0), F.lit(hi) * F.col("weight")).alias("probability"))
+
+
+def mix(described: DataFrame, share: float = 0.5, temper: float = 0.5, targets: dict[str, dict] | None = None, most_cells: int = 100_000, seed: int = 42) -> DataFrame:
+    """``described`` with weight, probability and sampled.
+
+    ``targets`` maps an axis to the weights of its categories; an axis without them takes its observed shares to the
+    power ``temper``. Up to ``most_cells`` cells are raked on the driver and broadcast; more stay in tables.
+    """
+    keyed = described.select("*", *[_category(a) for a in AXES])
+    cells = materialize(keyed.groupBy(*KEYS).agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("n")), "cells")
+    few = cells.limit(most_cells + 1).count() <= most_cells
+    table = (_raked if few else _raked_in_frames)(cells, share, temper, targets or {})
+    out = keyed.join(table, KEYS, "left").drop(*KEYS)
     return out.withColumn("sampled", F.col("_draw") < F.col("probability")).drop("_draw")
 
 

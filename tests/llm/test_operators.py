@@ -93,6 +93,28 @@ def test_topics_are_fitted_on_all_documents(spark):
     assert to[-3] == to[-2] and (to == to[-2]).sum() == 2
 
 
+def test_mixing_rakes_every_category(spark):
+    rng = np.random.default_rng(13)
+    rows = [(i, f"s{int(240 * rng.random() ** 2)}", ["en", "fr", None][int(rng.integers(3))], int(rng.integers(2)), int(rng.integers(1, 400)), float(rng.random())) for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, lang string, topic int, tokens long, _draw double").cache()
+    size = Counter()
+    for _, source, *_, n, _ in rows:
+        size[source] += n
+    assert len(size) > 200
+    total = sum(size.values())
+    norm = sum((n / total) ** 0.5 for n in size.values())
+    weights = {}
+    for most in (100_000, 10):
+        got = mixing.mix(docs, most_cells=most).collect()
+        met = Counter()
+        for r in got:
+            met[r.source] += r.tokens * r.weight / total
+        assert len(got) == 4000 and all(abs(met[s] - (n / total) ** 0.5 / norm) < 1e-6 for s, n in size.items())
+        assert abs(sum(r.tokens * r.probability for r in got) - total / 2) < 1e-6 * total
+        weights[most] = np.array([(r.weight, r.probability) for r in sorted(got, key=lambda r: r.doc_id)])
+    assert np.allclose(weights[100_000], weights[10], atol=1e-6)
+
+
 def test_packing_round_trip(odd, none):
     import public_tokenizers
     from tokenizers import Tokenizer
