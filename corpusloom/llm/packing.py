@@ -25,6 +25,9 @@ from corpusloom.llm.arrow import texts
 from corpusloom.storage import materialize
 
 END = 2
+#: Tokens added to the byte-level vocabulary: wherever the string stands in a text it is this id, and parts what stands around it.
+ADDED = {"<|endoftext|>": 50256}
+_ADDED = re.compile("(" + "|".join(map(re.escape, ADDED)) + ")")
 #: Letters, digits and the rest as the vocabulary's pattern cuts them, for texts of ASCII and Latin letters alone.
 _PLAIN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zÀ-ɏ]+| ?[0-9]+| ?[^\sA-Za-zÀ-ɏ0-9]+|\s+(?!\S)|\s+")
 _OTHER = re.compile(r"[^\x00-\x1b\x20-\x7fÀ-ÖØ-öø-ɏ‐-‧₠-₿]")
@@ -48,6 +51,13 @@ class Encoder:
 
     def __call__(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
+        if "<|" not in text:
+            return self.ordinary(text)
+        parts = _ADDED.split(text)  # every other part is an added token
+        return b"".join(ADDED[p].to_bytes(4, "little") if k % 2 else self.ordinary(p) for k, p in enumerate(parts) if p)
+
+    def ordinary(self, text: str) -> bytes:
+        """Ids of a text without added tokens."""
         if _OTHER.search(text):
             return np.asarray(self.enc.encode_ordinary(text), dtype="<u4").tobytes()
         parts, known = _PLAIN.findall(text), self.known

@@ -138,6 +138,17 @@ def test_packing_round_trip(odd, none):
     assert packing.pack(none).count() == 0
 
 
+def test_packing_keeps_added_tokens():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert packing.ADDED == {x.content: k for k, x in t.get_added_tokens_decoder().items()}
+    encode = packing.Encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    for text in ("one <|endoftext|> two", "<|endoftext|>", "a<|endoftext|><|endoftext|>\n b", "  <|endoftext|>  東京", "<|endoftext| >", "<|<|endoftext|>|>", "x <|y|>"):
+        assert np.frombuffer(encode(text), dtype="<u4").tolist() == t.encode(text, add_special_tokens=False).ids
+
+
 def test_plan_equals_best_fit_decreasing():
     rng = np.random.default_rng(2)
     for _ in range(20):
