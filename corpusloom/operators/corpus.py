@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from corpusloom.functions import text as T
-from corpusloom.operators.components import components
-from corpusloom.storage import materialize
+from corpusloom.storage import ship_package
 
 
 def metrics(docs: DataFrame) -> DataFrame:
@@ -102,27 +101,19 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, n: int = 8, least: int
     return a.join(b, "h").groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("shared")).where(F.col("shared") >= least)
 
 
-def minhash(docs: DataFrame, bands: int = 9, rows: int = 13, n: int = 5) -> DataFrame:
-    """(doc_id, band, bucket): hashes of ``rows`` minimum hashes each, all JVM expressions."""
-    w = T.words(F.lower("text"))
-    df = docs.select("doc_id", w.alias("w")).where(F.size("w") >= 1)
-    size = F.least(F.size("w"), F.lit(n))
-    h = F.transform(F.sequence(F.lit(1), F.size("w") - size + 1), lambda i: F.xxhash64(F.slice("w", i, n)))
-    df = df.select("doc_id", F.array_distinct(h).alias("h"))
-
-    def least(k: int):
-        return F.array_min(F.transform("h", lambda x: F.xxhash64(x, F.lit(k))))
-
-    keys = [F.struct(F.lit(b).alias("band"), F.xxhash64(*[least(b * rows + r) for r in range(rows)]).alias("bucket")) for b in range(bands)]
-    return df.select("doc_id", F.explode(F.array(*keys)).alias("k")).select("doc_id", "k.band", "k.bucket")
+def fuzzy_components(docs: DataFrame, similarity: float = 0.8, n: int = 5) -> DataFrame:
+    """(node, component) of documents that have near duplicates: the share of ``n``-word shingles is ``similarity`` or more.
 
+    Bands of minimum hashes bring pairs together (at 0.8 they miss one in 100,000) and the shared shingles are counted.
+    Documents without words have no duplicates.
+    """
+    from corpusloom.llm.simhash import near_copies
 
-def fuzzy_components(docs: DataFrame, bands: int = 9, rows: int = 13) -> DataFrame:
-    """Near-duplicate components: members of a bucket link to its smallest document, then connected components."""
-    filed = materialize(minhash(docs, bands, rows), "bands")  # read twice below
-    heads = filed.groupBy("band", "bucket").agg(F.min("doc_id").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    links = filed.join(heads, ["band", "bucket"]).where("doc_id <> head").select("doc_id", "head")
-    return components(links)
+    ship_package(docs.sparkSession)
+    w = T.words(F.lower("text"))
+    worded = docs.where("doc_id is not null").select("doc_id", w.alias("w")).where(F.size("w") >= 1)
+    found = near_copies(worded.select("doc_id", F.array_join("w", " ").alias("text")), n, similarity).where("doc_id <> component_id")
+    return found.select(F.explode(F.array("doc_id", "component_id")).alias("node"), F.col("component_id").alias("component")).distinct()
 
 
 def split_by_group(docs: DataFrame, key: list[str], seed: int = 42, train: float = 0.90, validation: float = 0.05) -> DataFrame:

@@ -1,6 +1,8 @@
 import duckdb
+import numpy as np
 import pytest
 
+from corpusloom.operators import corpus
 from corpusloom.operators.components import components
 from corpusloom.plans import catalog
 
@@ -29,3 +31,28 @@ def test_components_of_a_chain_a_star_and_loops(spark):
 
 def test_components_of_no_links(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_fuzzy_components_equal_brute_force(spark):
+    rng = np.random.default_rng(14)
+    rows = [(0, ""), (1, None), (2, "..."), (3, "One, two!"), (4, "one two")]
+    for family in range(60):
+        base = [f"w{k}" for k in rng.integers(0, 3000, 200)]
+        for changes in (0, 2, 4, 5):  # shares about 0.9 to 0.77 of the first
+            words = list(base)
+            for at in rng.choice(200, changes, replace=False):
+                words[at] = f"v{family}x{at}"
+            rows.append((len(rows), ", ".join(words)))
+    sets, home = {}, {}
+    for i, text in rows:
+        w = (text or "").lower().replace(",", "").replace("!", "").replace(".", "").split()
+        if w:
+            sets[i], home[i] = {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))}, i
+    for i in sorted(sets):
+        for j in sorted(sets):
+            if j < i and 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+                x, y = sorted((home[i], home[j]))
+                home = {k: x if v == y else v for k, v in home.items()}
+    many = {v for k, v in home.items() if k != v}
+    got = corpus.fuzzy_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.node: r.component for r in got} == {k: v for k, v in home.items() if v in many} and len(got) > 100
