@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.storage import materialize
+from corpusloom.storage import discard, materialize
 
 
 def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -17,7 +17,7 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     a, b = links.columns[:2]
     edges = links.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v and u is not null and v is not null")
     edges = materialize(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
-    before = None
+    before, old = None, edges
     for _ in range(most_rounds):
         # large star: every larger neighbour points to the smallest of the neighbourhood
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -28,6 +28,8 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
         joined = edges.join(least, "u")
         edges = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).distinct()
         edges = materialize(edges, "stars")
+        discard(edges.sparkSession, old)
+        old = edges
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             break

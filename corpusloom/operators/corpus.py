@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from corpusloom.functions import text as T
+from corpusloom.operators.neardup import near_copies
 from corpusloom.storage import ship_package
 
 
@@ -107,8 +108,6 @@ def fuzzy_components(docs: DataFrame, similarity: float = 0.8, n: int = 5) -> Da
     Bands of minimum hashes bring pairs together (at 0.8 they miss one in 100,000) and the shared shingles are counted.
     Documents without words have no duplicates.
     """
-    from corpusloom.llm.simhash import near_copies
-
     ship_package(docs.sparkSession)
     w = T.words(F.lower("text"))
     worded = docs.where("doc_id is not null").select("doc_id", w.alias("w")).where(F.size("w") >= 1)
