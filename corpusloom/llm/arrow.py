@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -27,6 +28,12 @@ def texts(column) -> Iterator[bytes]:
             yield bytes(data[offsets[i] : offsets[i + 1]])
 
 
+def without(df: DataFrame, *names: str) -> DataFrame:
+    """``df`` without the columns of these names in any case, so that new ones can take the names."""
+    gone = {n.lower() for n in names}
+    return df.select(*[F.col(f"`{c.replace('`', '``')}`") for c in df.columns if c.lower() not in gone])
+
+
 def wider(df: DataFrame, more: str) -> T.StructType:
     """The schema of ``df`` with the columns of a DDL string behind it."""
     return T.StructType([*df.schema.fields, *T.StructType.fromDDL(more).fields])

@@ -4,17 +4,24 @@ Every node of the page's tree has characters C and tags T, and of these those in
 composite density is C / T times the logarithm of (C / LC) (T / LT), to a base that grows with the node's link
 characters and the page's share of them: long text between few tags counts, links count against it. A node's
 density sum adds its children's densities. The subtree of the largest sum is the article (the enclosing article
-element, where there is one); the smallest density on its way to body is the threshold below which blocks that are
-mostly links leave the subtree.
+element, where there is one); the smallest density on its way to body is the threshold: the subtree grows to its
+parent while other blocks there reach the threshold and hold much text, and lists of links below it leave.
 
-Elements that never hold article text (scripts, styles, menus, headers and footers outside the article, forms, and
-those whose class, id or role names adverts, notices, comments or sidebars) are cut first. Null html is empty;
-broken or unclosed markup is read as browsers do in outline: block starts close paragraphs, an end tag closes
-what it can.
+Elements around an article (menus, headers and footers outside it, forms, asides, and those whose class, id or role
+names adverts, notices, comments or sidebars) are cut before densities are taken, but never one that encloses the
+page's main article element or nearly all of its unlinked text: a wrapper that names its sidebar, a form around the
+whole page and an aside that is not closed keep what they hold. Names of layouts (no-sidebar, with-sidebar,
+has-header-image) name no such part.
+
+Null html is empty and an empty table gives an empty result; a page of any length is read whole; repeated rows are
+read each; columns other than page_id, url and html are ignored. Broken or unclosed markup is read as browsers do in
+outline: block starts close paragraphs, an end tag closes what it can. Of densities that tie, the first in page order
+of the walk counts.
 """
 
 from __future__ import annotations
 
+import functools
 import html as entities
 import math
 import re
@@ -34,29 +41,54 @@ AROUND = frozenset("nav footer aside form button select textarea fieldset menu d
 RAW = frozenset("script style textarea title iframe noscript".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img".split())
-#: An element with such a word among its class, id or role is no article text.
-NAMES = re.compile(r"(?:^|[\s_-])(?:ad|ads|adv|advert|adverts|advertisement|advertising|banner|sponsor|sponsored|promo|promoted|promotion|cookie|cookies|consent|gdpr|notice|notices|alert|popup|modal|overlay|newsletter|subscribe|subscription|signup|login|paywall|sidebar|side|aside|rail|widget|widgets|nav|navbar|navigation|menu|menus|breadcrumb|breadcrumbs|pagination|pager|toolbar|topbar|header|masthead|footer|foot|copyright|comment|comments|commentlist|disqus|reply|replies|discussion|respond|related|recommended|recommendations|share|sharing|social|tags|search|toc|complementary|contentinfo|dialog|hidden)(?=$|[\s_-])", re.I)
+#: Words in a class, id or role that name a part which is no article text.
+NAMES = frozenset(
+    """ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promoted promotion cookie cookies consent gdpr
+    notice notices alert popup modal overlay newsletter subscribe subscription signup login paywall sidebar side aside rail widget widgets
+    nav navbar navigation menu menus breadcrumb breadcrumbs pagination pager toolbar topbar footer foot copyright comment comments
+    commentlist disqus reply replies discussion respond related recommended recommendations share sharing social tags search toc
+    complementary contentinfo dialog hidden""".split()
+)
+#: Names of a page's head, which an article may have too.
+HEADS = frozenset("header masthead".split())
+#: With such a word, a name tells of a layout and not of the part itself.
+LAYOUT = frozenset("no not has have with without is wrap wrapper wrapping container layout fixed page content body main two three left right col cols column columns".split())
+PARTS = re.compile(r"[a-z]+")
 SPACE = re.compile(r"\s+")
+CLOSE = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in RAW}
+#: A part is kept if the text outside it is less than this share of its own.
+OUTSIDE = 0.1
+#: Other blocks of this share of the article's text bring in the parent that holds them.
+BESIDE = 0.3
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "chars", "tags", "link_chars", "link_tags", "density", "total", "in_article")
+    __slots__ = ("tag", "parent", "children", "chars", "tags", "link_chars", "link_tags", "density", "total", "in_article", "around")
 
-    def __init__(self, tag: str, parent: "Node | None"):
-        self.tag, self.parent, self.children = tag, parent, []
+    def __init__(self, tag: str, parent: "Node | None", around: bool = False):
+        self.tag, self.parent, self.children, self.around = tag, parent, [], around
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
         self.in_article = tag in ("article", "main") or (parent is not None and parent.in_article)
 
 
-def _cut(tag: str, attributes: str, parent: Node) -> bool:
-    """Whether the element is left out with all it holds."""
-    if tag in SKIPPED or tag in AROUND:
-        return True
-    if tag == "header" and not parent.in_article:
+@functools.lru_cache(100_000)
+def _named(value: str, in_article: bool) -> bool:
+    """Whether a class, id or role names a part around the article."""
+    for token in value.lower().split():
+        parts = PARTS.findall(token)
+        told = NAMES.intersection(parts) or (not in_article and HEADS.intersection(parts))
+        if told and (len(parts) == 1 or not LAYOUT.intersection(parts)):
+            return True
+    return False
+
+
+def _around(tag: str, attributes: str, parent: Node) -> bool:
+    """Whether an element looks like a part around the article; ``prune`` decides."""
+    if tag in AROUND or (tag == "header" and not parent.in_article):
         return True
-    if attributes and tag not in ("html", "body", "article", "main"):
-        return any(NAMES.search(m[1] or m[2] or m[3] or "") for m in MARK.finditer(attributes))
+    if attributes and tag not in VOID:
+        return any(_named(m[1] or m[2] or m[3] or "", parent.in_article) for m in MARK.finditer(attributes))
     return False
 
 
@@ -96,9 +128,9 @@ def parse(page: str) -> Node:
             continue
         if tag in ("html", "body"):
             continue
-        if tag not in VOID and _cut(tag, m[3], at):
+        if tag in SKIPPED or tag in RAW:
             if tag in RAW:
-                close = re.compile(rf"</{tag}\s*>", re.I).search(page, end)
+                close = CLOSE[tag].search(page, end)
                 end = close.end() if close else len(page)
             elif not m[3].rstrip().endswith("/"):
                 skip, depth = tag, 1
@@ -112,7 +144,7 @@ def parse(page: str) -> Node:
                 at = x.parent
             elif tag in ("p", "li", "h1", "h2", "h3", "h4", "h5", "h6", "div", "section", "ul", "ol", "table") and x is not at:
                 at = x
-        node = Node(tag, at)
+        node = Node(tag, at, _around(tag, m[3], at))
         at.children.append(node)
         if tag not in VOID and not m[3].rstrip().endswith("/"):
             at = node
@@ -121,15 +153,21 @@ def parse(page: str) -> Node:
     return root
 
 
-def measure(root: Node) -> None:
-    """Characters and tags of every node, those in links, composite density and density sum; without recursion."""
+def walk(root: Node) -> list[tuple[Node, bool]]:
+    """Nodes with whether they stand in a link, parents before children."""
     order, stack = [], [(root, False)]
     while stack:
         x, linked = stack.pop()
         linked = linked or x.tag == "a"
         order.append((x, linked))
         stack += [(c, linked) for c in x.children if isinstance(c, Node)]
+    return order
+
+
+def count(order: list[tuple[Node, bool]]) -> None:
+    """Characters and tags of every node, and those in links; without recursion."""
     for x, linked in reversed(order):
+        x.chars = x.tags = x.link_chars = x.link_tags = 0
         for c in x.children:
             if isinstance(c, Node):
                 x.chars += c.chars
@@ -140,6 +178,50 @@ def measure(root: Node) -> None:
                 n = len(c) - c.count(" ") - c.count("\n")
                 x.chars += n
                 x.link_chars += n * linked
+
+
+def prune(root: Node) -> None:
+    """Takes the parts around the article out of the tree; the tree is counted anew if any went."""
+    order = walk(root)
+    count(order)
+    if not any(x.around for x, _ in order):
+        return
+    plain = lambda x: x.chars - x.link_chars
+    # the main article: of the elements outside any named part, else of all, the one with most unlinked text
+    beside, best = set(), None
+    for x, _ in order:
+        if x.around or (x.parent is not None and id(x.parent) in beside):
+            beside.add(id(x))
+        if x.tag in ("article", "main") and not x.around:
+            rank = (id(x) not in beside, plain(x))
+            if rank[1] and (best is None or rank > best[0]):
+                best = (rank, x)
+    kept = set()
+    x = best[1] if best else None
+    while x is not None:
+        kept.add(id(x))
+        x = x.parent
+    every, cut = plain(root), False
+    stack = [root]
+    while stack:
+        x = stack.pop()
+        here = []
+        for c in x.children:
+            if isinstance(c, Node):
+                if c.around and id(c) not in kept and (best is not None or every - plain(c) >= OUTSIDE * plain(c)):
+                    cut = True
+                    here.append(" ")
+                    continue
+                stack.append(c)
+            here.append(c)
+        x.children = here
+    if cut:
+        count(walk(root))
+
+
+def measure(root: Node) -> None:
+    """Composite density and density sum of every node of a counted tree."""
+    order = walk(root)
     c_body, lc_body = max(root.chars, 1), root.link_chars
     for x, _ in order:
         c, t, lc, lt = x.chars, max(x.tags, 1), x.link_chars, max(x.link_tags, 1)
@@ -153,7 +235,11 @@ def measure(root: Node) -> None:
 
 
 def chosen(root: Node) -> tuple[Node, float]:
-    """The node of largest density sum, taken up to an enclosing article, and the smallest density from it to body."""
+    """The article's subtree and the threshold.
+
+    It is the node of largest density sum, taken up to an enclosing article element; without one, up to the parent
+    while the other blocks there that reach the threshold hold enough text.
+    """
     best, stack = root, [root]
     while stack:
         x = stack.pop()
@@ -168,6 +254,12 @@ def chosen(root: Node) -> tuple[Node, float]:
         x = x.parent
     while top.tag in INLINE or top.tag in ("p", "h1", "h2", "h3"):
         top = top.parent
+    at = top
+    while not top.in_article and at.parent is not None:
+        others = sum(c.chars - c.link_chars for c in at.parent.children if isinstance(c, Node) and c is not at and c.density >= threshold and 2 * c.link_chars <= c.chars)
+        at = at.parent
+        if others >= BESIDE * max(top.chars - top.link_chars, 1):
+            top = at
     return top, threshold
 
 
@@ -176,9 +268,10 @@ def extract(page: str) -> str:
     if not page:
         return ""
     root = parse(page)
-    measure(root)
+    prune(root)
     if not root.chars:
         return ""
+    measure(root)
     top, threshold = chosen(root)
     out, stack = [], [top]
     while stack:
@@ -187,8 +280,8 @@ def extract(page: str) -> str:
             out.append(x)
             continue
         if x is not top:
-            # a block mostly of links below the threshold is a menu or a list of related pages
-            if x.tag not in INLINE and x.density < threshold and 2 * x.link_chars > x.chars:
+            # a block of several links and nothing else, below the threshold, is a menu or a list of related pages
+            if x.tag not in INLINE and x.density < threshold and x.link_tags > 2 and x.link_chars > 0.9 * x.chars:
                 continue
             if x.tag not in INLINE or x.tag == "wbr":
                 out.append(" ")

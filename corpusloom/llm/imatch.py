@@ -1,13 +1,18 @@
 """Document fingerprints by I-Match over several randomised lexicon subsets, in DataFrame operations alone.
 
-The lexicon holds the terms whose document frequency lies within a band. A document's fingerprint takes its distinct
-lexicon terms, sorted, and hashes for each of several random subsets of the lexicon those it holds. The subsets
-differ in size, from most of the lexicon to one term in 256, so that the share of equal hashes falls gradually as
-texts differ more. A document with too few lexicon terms takes all its distinct terms instead.
+The lexicon holds the terms whose document frequency, over all documents, lies within a band; nothing else decides.
+A document's fingerprint takes its distinct lexicon terms, sorted, and hashes for each of several random subsets of
+the lexicon those it holds. The subsets differ in size, from most of the lexicon to one term in 256, so that the share
+of equal hashes falls gradually as texts differ more. A document with too few lexicon terms takes all its distinct
+terms instead.
+
+Document frequencies sum to the number of (document, term) pairs, so a band above ``low`` holds at most as many terms
+as a document holds on average, divided by ``low``. Up to ``LISTED`` terms are looked up in a set inside the
+expression; a larger lexicon stays a table that the terms of distinct texts are joined with, to the same result.
 
 Null and empty texts are texts without terms and share one fingerprint; equal texts have equal fingerprints; rows
 that share a doc_id are ordered by a hash of their text; a null doc_id comes last in descending order. An empty table
-gives an empty result. Columns other than doc_id and text are ignored.
+gives an empty result. Texts of any length are read whole. Columns other than doc_id and text are ignored.
 """
 
 from __future__ import annotations
@@ -16,6 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from corpusloom.storage import materialize
+
 #: One random subset of the lexicon a rate: a term is in with probability 1 / rate.
 RATES = (1.5,) * 4 + (16,) * 4 + (64,) * 8 + (256,) * 8
 
@@ -26,20 +33,16 @@ def terms(text: Column) -> Column:
     return F.transform(F.array_distinct(words), lambda w: F.xxhash64(w))
 
 
-def lexicon(docs: DataFrame, low: float = 0.004, high: float = 0.2, most: int = 20_000) -> list[int]:
-    """Hashes of terms in more than ``low`` and at most ``high`` of the documents.
-
-    Document frequencies sum to the number of (document, term) pairs, so at most pairs / (low * documents) terms pass
-    the band, however large the corpus; where that bound exceeds ``most``, the band's lower edge rises until it holds.
-    """
+def lexicon(docs: DataFrame, low: float = 0.004, high: float = 0.2) -> DataFrame:
+    """(term): hashes of terms in at least ``low`` and at most ``high`` of all documents, and in two at least."""
     exploded = docs.select(F.explode(terms(F.coalesce("text", F.lit("")))).alias("term"))
-    df = exploded.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     n = docs.count()
-    held = df.where(F.col("df") >= max(2.0, low * n))
-    size = held.agg(F.count(F.lit(1)), F.sum("df")).first()
-    if size[0] > most:
-        held = held.where(F.col("df") >= size[1] / most)
-    return sorted(r.term for r in held.where(F.col("df") <= max(2.0, high * n)).collect() if r.term != -(2**63))
+    df = exploded.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    return materialize(df.where(F.col("df").between(max(2.0, low * n), max(2.0, high * n))).select("term"), "lexicon")
+
+
+#: So many terms at most are listed in an expression.
+LISTED = 50_000
 
 
 def subset_hashes(kept: Column) -> Column:
@@ -53,11 +56,18 @@ def subset_hashes(kept: Column) -> Column:
     return F.transform(F.array(*[one(k, rate) for k, rate in enumerate(RATES)]), lambda h: F.coalesce(h, F.lit(0).cast("long")))
 
 
-def with_fingerprint(df: DataFrame, text: str, name: str, words: list[int], least: int = 3) -> DataFrame:
-    """``df`` with the array of subset hashes of column ``text`` as column ``name``."""
-    every, band = f"_{name}_every", f"_{name}_band"
+def with_fingerprint(df: DataFrame, text: str, name: str, words: DataFrame, least: int = 3, listed: int = LISTED) -> DataFrame:
+    """``df`` with the array of subset hashes of column ``text`` as column ``name``; ``words`` is the lexicon."""
+    every, band, of = f"_{name}_every", f"_{name}_band", f"_{name}_of"
     df = df.withColumn(every, terms(F.col(text)))
-    df = df.withColumn(band, F.expr(f"filter({every}, t -> t in ({', '.join(f'{w}L' for w in words)}))") if words else F.expr("array()").cast("array<bigint>"))
+    some = [r.term for r in words.limit(listed + 1).collect()]
+    if len(some) <= listed:
+        inside = F.expr(f"filter({every}, t -> t in ({', '.join(f'{w}L' for w in sorted(some) if w != -(2**63))}))") if some else F.array().cast("array<bigint>")
+        df = df.withColumn(band, inside)
+    else:
+        df = df.withColumn(of, F.sha2(F.col(text).cast("binary"), 256))
+        pairs = df.select(of, F.explode(every).alias("term")).distinct().join(words, "term", "left_semi")
+        df = df.join(pairs.groupBy(of).agg(F.collect_list("term").alias(band)), of, "left").withColumn(band, F.coalesce(band, F.array().cast("array<bigint>"))).drop(of)
     df = df.withColumn(band, F.array_sort(F.when(F.size(band) < least, F.col(every)).otherwise(F.col(band))))
     return df.withColumn(name, subset_hashes(F.col(band))).drop(every, band)
 
@@ -78,6 +88,8 @@ def with_next(docs: DataFrame, columns: list[str], per_bucket: int = 2000) -> Da
 
     Rows go to buckets of the key's range, one shuffle in all. A bucket's first row is known beforehand, as the bounds
     are keys that occur; it also goes to the bucket before its own, behind the rows there, and the very first to the last.
+    A bucket holds about ``per_bucket`` rows up to 131 million rows in all; beyond, 65,536 buckets grow with the table
+    (150,000 rows each at 10^10) and are sorted with spill. Rows that repeat one doc_id are one bucket.
     """
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))
     n = docs.count()
@@ -107,15 +119,15 @@ def with_next(docs: DataFrame, columns: list[str], per_bucket: int = 2000) -> Da
     return out.where("_copy = 0").drop("_key", "_coarse", "_bucket", "_at", "_tie", "_part", "_copy")
 
 
-def fingerprint_documents(docs: DataFrame, words: list[int] | None = None) -> DataFrame:
+def fingerprint_documents(docs: DataFrame, words: DataFrame | None = None, listed: int = LISTED) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next for every row."""
     words = lexicon(docs) if words is None else words
     own = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    own = with_fingerprint(own, "text", "prints", words)
+    own = with_fingerprint(own, "text", "prints", words, listed=listed)
     pairs = with_next(own, ["text", "prints"])
     n = F.length("text")
     pairs = pairs.withColumn("edited", F.concat(F.expr("substring(text, 1, length(text) - cast(floor(length(text) / 2) as int))"), F.expr("substring(next_text, 1, cast(floor(length(text) / 2) as int))")))
-    pairs = with_fingerprint(pairs.withColumn("n_chars", n.cast("long")).drop("text", "next_text"), "edited", "edited_prints", words)
+    pairs = with_fingerprint(pairs.withColumn("n_chars", n.cast("long")).drop("text", "next_text"), "edited", "edited_prints", words, listed=listed)
     return pairs.select(
         "doc_id",
         "n_chars",

@@ -8,7 +8,8 @@ independently by a hash, which gives the same sample on every run.
 Topics are clusters of hashed three-byte profiles around centroids fitted on all documents: profiles are written once,
 and each round of k-means adds up its clusters' profiles partition by partition. Null source or language
 is a category of its own; null and empty texts have no tokens and a topic of their own, and are drawn as their
-cell is. Rows that repeat doc_id and text share one draw. Every category is raked for itself: on the driver up to ``most_cells``
+cell is. Rows that repeat doc_id and text share one draw; an empty table gives an empty result; texts of any length are
+read whole; other columns pass through, but those named as a result column (in any case) are replaced. Every category is raked for itself: on the driver up to ``most_cells``
 cells, beyond that by aggregations over the table of cells.
 """
 
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.arrow import texts, wider
+from corpusloom.llm.arrow import texts, wider, without
 from corpusloom.storage import materialize
 
 BINS = 1024
@@ -156,8 +157,7 @@ def topic_centroids(docs: DataFrame, topics: int = 8, rounds: int = 12) -> np.nd
 
 def describe(docs: DataFrame, fitted: np.ndarray) -> DataFrame:
     """``docs`` with topic (-1 for texts too short to have one) and tokens."""
-    fields = [f for f in docs.schema.names if f not in ("topic", "tokens", "weight", "probability", "sampled")]
-    docs = docs.select(*[F.col(f"`{f}`") for f in fields])
+    docs = without(docs, "topic", "tokens", "weight", "probability", "sampled")
 
     def run(batches):
         for batch in batches:
@@ -281,7 +281,7 @@ def _raked_in_frames(cells: DataFrame, share: float, temper: float, targets: dic
     return done.select(*KEYS, "weight", F.least(F.lit(1.0), F.lit(hi) * F.col("weight")).alias("probability"))
 
 
-def mix(described: DataFrame, share: float = 0.5, temper: float = 0.5, targets: dict[str, dict] | None = None, most_cells: int = 100_000, seed: int = 42) -> DataFrame:
+def mix(described: DataFrame, share: float = 0.5, temper: float = 0.5, targets: dict[str, dict] | None = None, most_cells: int = 100_000) -> DataFrame:
     """``described`` with weight, probability and sampled.
 
     ``targets`` maps an axis to the weights of its categories; an axis without them takes its observed shares to the
@@ -297,4 +297,4 @@ def mix(described: DataFrame, share: float = 0.5, temper: float = 0.5, targets:
 
 def with_draw(docs: DataFrame, seed: int = 42) -> DataFrame:
     """A number in [0, 1) from doc_id and text, the same on every run."""
-    return docs.withColumn("_draw", F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text")), 11) / F.lit(float(2**53)))
+    return without(docs, "_draw").withColumn("_draw", F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text")), 11) / F.lit(float(2**53)))

@@ -1,13 +1,14 @@
 """Quality classifier: Naive Bayes support vectors.
 
-Indicators of n-grams, over bytes (2 to 4) and over word forms (1 to 4), are scaled by the log ratio of their class
-counts; a linear hinge-loss model on the scaled indicators is fitted by dual coordinate descent. A word's form
+Indicators of n-grams, over bytes (2 to 4), words (1 and 2) and word forms (1 to 4), are scaled by the log ratio of their
+class counts; a linear hinge-loss model on the scaled indicators is fitted by dual coordinate descent. A word's form
 tells its case, its trailing symbol and whether it repeats the word before. Indicators are hashed into a fixed
 number of columns, so the model's size does not grow with the corpus. Margins become probabilities by a logistic
 curve fitted on margins of folds that the model had not seen.
 
 Null texts are empty; an empty text gets the score of the bias alone; without two classes of labels every score is
-the share of label 1.
+the share of label 1. Texts of any length are scored whole, repeated rows and equal texts alike; an empty table gives an
+empty result; other columns pass through, but those named as a result column (in any case) are replaced.
 """
 
 from __future__ import annotations
@@ -19,11 +20,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.arrow import texts, wider
+from corpusloom.llm.arrow import texts, wider, without
 from corpusloom.llm.training import class_shares, held_out, labelled_sample
 
 BITS = 16
-COLUMNS = 4 << BITS
+COLUMNS = 5 << BITS
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _CASE = np.full(256, 3, dtype=np.uint8)  # 0 lower, 1 upper, 2 digit, 3 other
@@ -41,13 +42,13 @@ _MIXED[65:91] = _MIXED[97:123]
 _MIXED[_SPACE] = 0
 
 
-def word_forms(b: np.ndarray) -> np.ndarray:
-    """A small number for each word of UTF-8 bytes: case of its first two bytes, kind of its last, equal to the word before."""
+def word_forms(b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each word of UTF-8 bytes a small number (case of its first two bytes, kind of its last, equal to the word before) and a hash of it in lower case."""
     space = _SPACE[b]
     edge = np.flatnonzero(np.diff(np.concatenate([[True], space, [True]])))
     start, end = edge[::2], edge[1::2] - 1
     if not len(start):
-        return np.zeros(0, dtype=np.uint64)
+        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint64)
     length = end - start + 1
     second = _CASE[b[np.minimum(start + 1, end)]]
     # words are taken as equal if their lengths and the sums of a mix of each two neighbouring bytes are
@@ -56,7 +57,7 @@ def word_forms(b: np.ndarray) -> np.ndarray:
     mixed = np.add.reduceat(mix, start)
     same = np.zeros(len(start), dtype=np.uint64)
     same[1:] = (mixed[1:] == mixed[:-1]) & (length[1:] == length[:-1])
-    return ((_CASE[b[start]].astype(np.uint64) * 4 + second) * 5 + _TAIL[b[end]]) * 2 + same
+    return ((_CASE[b[start]].astype(np.uint64) * 4 + second) * 5 + _TAIL[b[end]]) * 2 + same, mixed.astype(np.uint64) << np.uint64(16) | length.astype(np.uint64) & np.uint64(0xFFFF)
 
 
 def indicators(text: bytes) -> np.ndarray:
@@ -71,7 +72,13 @@ def indicators(text: bytes) -> np.ndarray:
             break
         gram = gram[:-1] << np.uint32(8) | wide[n - 1 :]
         out.append((gram * np.uint32(2654435761 + 2 * n) >> shift) + np.uint32((n - 2) << BITS))
-    forms = word_forms(b)
+    forms, words = word_forms(b)
+    code = np.zeros(len(words), dtype=np.uint64)
+    for n in (1, 2):
+        if len(words) < n:
+            break
+        code = (code[: len(words) - n + 1] + words[n - 1 :]) * _ODD
+        out.append((code >> np.uint64(64 - BITS)).astype(np.uint32) + np.uint32(4 << BITS))
     code = np.zeros(len(forms), dtype=np.uint64)
     for n in (1, 2, 3, 4):
         if len(forms) < n:
@@ -184,14 +191,13 @@ def score_quality(docs: DataFrame, labels: DataFrame, modulus: int = 4, remainde
     """doc_id, text, held_out, score, predicted, one row for each row of ``docs``; one pass without a shuffle.
 
     The model is fitted on at most ``most`` labelled rows outside the fold ``modulus``/``remainder``; see
-    ``labelled_sample``. Its four hashed blocks of columns take 1 MB, whatever the corpus.
+    ``labelled_sample``. Its five hashed blocks of columns take 1.3 MB, whatever the corpus.
     """
     sample = labelled_sample(docs, labels, "quality", modulus, remainder, most, most_chars).collect()
     sample.sort(key=lambda r: (r.doc_id, r.text))
     rng = np.random.default_rng(3)
     sample = [sample[i] for i in rng.permutation(len(sample))]
     model = fit([(r.text.encode(), r.label) for r in sample], class_shares(labels, "quality", modulus, remainder))
-    fields = [f for f in docs.schema.fields if f.name not in ("held_out", "score", "predicted")]
 
     def run(batches):
         for batch in batches:
@@ -199,6 +205,6 @@ def score_quality(docs: DataFrame, labels: DataFrame, modulus: int = 4, remainde
             scores = pa.array([model.score(t) for t in texts(batch.column(at))], type=pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, scores], names=[*batch.schema.names, "score"])
 
-    kept = docs.select(*[F.col(f"`{f.name}`") for f in fields]).withColumn("held_out", held_out(modulus, remainder))
+    kept = without(docs, "held_out", "score", "predicted").withColumn("held_out", held_out(modulus, remainder))
     scored = kept.mapInArrow(run, wider(kept, "score double"))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

@@ -5,8 +5,10 @@ separates poor documents from the rest (information gain), prunes it on rows set
 enough there, removes what it covers and goes on. The list becomes one CASE expression, first match wins; statistics
 and verdict are DataFrame expressions throughout.
 
-Null and empty texts have no words and fail the base rule; repeated rows get equal verdicts; without labels of both
-classes the list is empty and the base rule alone decides.
+Null and empty texts have no words and fail the base rule; repeated rows and equal texts get equal verdicts, and a text
+of any length is counted whole. Of rules that hold at once the first decides; of conditions of equal gain the first
+found is grown. Without labels of both classes the list is empty and the base rule alone decides; an empty table gives
+an empty result. Columns other than doc_id and text are ignored.
 """
 
 from __future__ import annotations

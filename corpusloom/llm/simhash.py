@@ -2,52 +2,36 @@
 
 Two ways to candidates share one comparison. ``exact_links`` finds *every* pair of 64-bit fingerprints at radius
 2 or less: such a pair agrees on at least two of four 16-bit quarters, so each fingerprint is filed under its six
-pairs of quarters. ``near_copies`` files a wider fingerprint under bands of minimum shingle hashes, leaves out pairs beyond a
-cosine radius and counts the shared shingles of the rest. Within a file, distances are taken many at a time: the differences' bit planes lie vertically (one
-word holds one bit of 64 pairs), carry-save counters add the planes, and a block of pairs is abandoned once all of
-it exceeds the radius. Files larger than a tile are compared tile by tile in different tasks. Only links that join
-something new are kept, so output stays below the number of filed rows.
+pairs of quarters. ``near_copies`` files documents under bands of minimum shingle hashes, leaves out pairs whose wider
+fingerprints are beyond a cosine radius and counts the shared shingles of the rest. Within a file, distances are taken
+many at a time: the differences' bit planes lie vertically (one word holds one bit of 64 pairs), carry-save counters
+add the planes, and a block of pairs is abandoned once all of it exceeds the radius. ``operators.neardup`` deals large
+files to tasks.
+
+Null and empty texts have fingerprint zero; texts of any length are read whole; repeated rows and equal texts share a
+class, and each row keeps its own row; ties have no part, as components do not depend on order; an empty table gives
+an empty result; columns other than doc_id and text are ignored.
 """
 
 from __future__ import annotations
 
-import re
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.arrow import texts
+from corpusloom.operators import neardup
 from corpusloom.operators.components import components
+from corpusloom.operators.neardup import Near, alike, bucket_links, scramble, shingle_hashes
 from corpusloom.storage import materialize
 
-WORD = re.compile(rb"[^\x20\x09-\x0d]+")
 QUARTERS = list(combinations(range(4), 2))
 _MIX = np.array([0, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], dtype=np.uint64)
 
 
-def shingle_hashes(text: bytes, n: int) -> np.ndarray:
-    """XXH64 (seed 42) of each n-word shingle of the ASCII-lowered text; of the whole sequence if it is shorter."""
-    words = WORD.findall(text.lower())
-    if not words:
-        return np.zeros(0, dtype=np.uint64)
-    h, join = xxhash.xxh64_intdigest, b" ".join
-    if len(words) <= n:
-        return np.array([h(join(words), 42)], dtype=np.uint64)
-    return np.array([h(join(s), 42) for s in zip(*(words[i:] for i in range(n)), strict=False)], dtype=np.uint64)
-
-
-def scramble(h: np.ndarray, by: np.uint64) -> np.ndarray:
-    """Another hash of the same shingles."""
-    x = h ^ by
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def simhash(h: np.ndarray, words: int = 1) -> np.ndarray:
     """Fingerprint of 64-bit words; a bit is 1 if it is set in more than half of the hashes."""
     out = np.zeros(words, dtype=np.uint64)
@@ -98,145 +82,6 @@ def within(differences: np.ndarray, radius: int, lanes: int = 4096) -> np.ndarra
     return near
 
 
-def alike(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray, similarity: float) -> np.ndarray:
-    """Whether sets ``a[i]`` and ``b[i]`` (sorted, distinct) share at least ``similarity`` of their union, counted exactly."""
-    out = np.zeros(len(a), dtype=bool)
-    for k, (x, y) in enumerate(zip(a.tolist(), b.tolist(), strict=True)):
-        x, y = sets[x], sets[y]
-        if len(x) > len(y):
-            x, y = y, x
-        if not len(x) or len(x) < similarity * len(y) - 1e-9:
-            continue  # sizes alone rule it out
-        at = np.searchsorted(y, x)
-        shared = int((y[np.minimum(at, len(y) - 1)] == x).sum())
-        out[k] = shared >= similarity * (len(x) + len(y) - shared) - 1e-9
-    return out
-
-
-def spanning_links(starts: np.ndarray, prints: np.ndarray, radius: int, side: np.ndarray | None = None, sets: list[np.ndarray] | None = None, similarity: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
-    """Links (row, row) that join rows of each group (``starts``: first row of each, and the end) as all its links would.
-
-    Every group walks breadth-first in step with the others: in a round each compares one row with its rows not yet
-    reached. With ``side`` (0 or 1) only rows of different sides are compared. With ``sets`` a pair within the radius
-    is a link only if its sets' similarity is high enough.
-    """
-    sizes = np.diff(starts)
-    group = np.repeat(np.arange(len(sizes)), sizes)
-    reached = np.zeros(len(group), dtype=bool)
-    queues: dict[int, list[int]] = {g: [] for g in np.flatnonzero(sizes > 1).tolist()}
-    left_rows, right_rows = [], []
-    first_open = {g: int(starts[g]) for g in queues}
-    query = np.full(len(sizes), -1, dtype=np.int64)
-    open_rows = np.flatnonzero(np.isin(group, list(queues)))
-    while queues:
-        query[:] = -1
-        for g in list(queues):
-            if queues[g]:
-                query[g] = queues[g].pop()
-                continue
-            i, end = first_open[g], int(starts[g + 1])
-            while i < end and reached[i]:
-                i += 1
-            first_open[g] = i + 1
-            if i >= end - 1 and (side is None or i >= end):
-                del queues[g]
-                continue
-            query[g] = i
-            reached[i] = True
-        open_rows = open_rows[~reached[open_rows]]
-        q = query[group[open_rows]]
-        rows, q = open_rows[q >= 0], q[q >= 0]
-        if side is not None:
-            other = side[rows] != side[q]
-            rows, q = rows[other], q[other]
-        if len(rows):
-            near = within(prints[rows] ^ prints[q], radius)
-            rows, q = rows[near], q[near]
-            if sets is not None:
-                near = alike(sets, q, rows, similarity)
-                rows, q = rows[near], q[near]
-            reached[rows] = True
-            left_rows.append(q)
-            right_rows.append(rows)
-            for r in rows.tolist():
-                queues[int(group[r])].append(r)
-        for g in [g for g in queues if not queues[g] and first_open[g] >= starts[g + 1]]:
-            del queues[g]
-    none = np.zeros(0, dtype=np.int64)
-    return np.concatenate(left_rows or [none]), np.concatenate(right_rows or [none])
-
-
-def bucket_links(filed: DataFrame, radius: int, tile: int = 8192, sets: DataFrame | None = None, similarity: float = 0.0, tile_bytes: int = 1 << 25) -> DataFrame:
-    """(a, b) from ``filed`` (key long, id long, print binary): within a key, ids linked at the radius, all but redundant links.
-
-    With ``sets`` (id, print, shingles), ``filed`` has (key, id, bytes) instead: of keys that hold the same ids one is
-    compared, the sets join the rows dealt to tiles, and a link must reach the similarity. A tile then ends at
-    ``tile_bytes`` of sets too, so that long texts share a task with fewer others.
-    """
-    if sets is None:
-        n = filed.groupBy("key").agg(F.count(F.lit(1)).alias("rows_of_key")).where("rows_of_key > 1")
-        at = filed.join(n, "key").withColumn("tiles", F.ceil(F.col("rows_of_key") / tile).cast("int"))
-        carried = ["print"]
-    else:
-        members = [F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y"), F.min("id").alias("low"), F.max("id").alias("high")]
-        n = filed.groupBy("key").agg(F.count(F.lit(1)).alias("rows_of_key"), F.sum("bytes").alias("bytes_of_key"), *members).where("rows_of_key > 1")
-        n = n.groupBy("rows_of_key", "bytes_of_key", "x", "y", "low", "high").agg(F.min("key").alias("key"))
-        at = filed.join(n, "key").withColumn("tiles", F.ceil(F.greatest(F.col("rows_of_key") / tile, F.col("bytes_of_key") / tile_bytes)).cast("int"))
-        carried = []
-    own = F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int")
-    # a row of a key with one tile stays once; else it goes to each pair of tiles that holds its own
-    pairs = F.when(F.col("tiles") == 1, F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))).otherwise(
-        F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda t: F.struct(F.least(t, F.col("own")).alias("i"), F.greatest(t, F.col("own")).alias("j")))
-    )
-    dealt = at.withColumn("own", own).withColumn("pair", F.explode(pairs)).select("key", "pair.i", "pair.j", "id", *carried, (F.col("own") == F.col("pair.j")).cast("int").alias("side"))
-    if sets is not None:
-        dealt = dealt.join(sets, "id")
-    dealt = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "id")
-
-    verified = sets is not None
-
-    def link(batches):
-        def flush(table):
-            key, i, j, ids, side = (table.column(c).to_numpy() for c in ("key", "i", "j", "id", "side"))
-            prints = table.column("print").combine_chunks()
-            width = len(prints[0].as_py()) // 8
-            prints = np.frombuffer(b"".join(prints.to_pylist()), dtype=np.uint64).reshape(-1, width)
-            shingles = table.column("shingles").to_pylist() if verified else None
-            new = np.flatnonzero((key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
-            starts = np.concatenate([[0], new, [len(key)]])
-            # keep groups of at least two; in a pair of different tiles only rows of different tiles meet
-            cross = i != j
-            for which in (False, True):
-                keep = np.repeat(np.diff(starts) > 1, np.diff(starts)) & (cross == which)
-                if keep.any():
-                    rows = np.flatnonzero(keep)
-                    g = np.repeat(np.arange(len(starts) - 1), np.diff(starts))[rows]
-                    local = np.concatenate([[0], np.flatnonzero(g[1:] != g[:-1]) + 1, [len(rows)]])
-                    own_sets = None if shingles is None else [np.frombuffer(shingles[r], dtype=np.uint32) for r in rows.tolist()]
-                    a, b = spanning_links(local, prints[rows], radius, side[rows] if which else None, own_sets, similarity)
-                    if len(a):
-                        yield pa.RecordBatch.from_arrays([pa.array(ids[rows][a]), pa.array(ids[rows][b])], names=["a", "b"])
-
-        held = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            held = table if held is None else pa.concat_tables([held, table])
-            if held.num_rows < 20_000 and held.nbytes < tile_bytes:
-                continue
-            # the last group may go on in the next batch; a group is at most two tiles
-            cols = [held.column(c).to_numpy() for c in ("key", "i", "j")]
-            last = held.num_rows
-            same = np.logical_and.reduce([c == c[-1] for c in cols])
-            last = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
-            if last:
-                yield from flush(held.slice(0, last))
-                held = held.slice(last)
-        if held is not None and held.num_rows:
-            yield from flush(held)
-
-    return dealt.mapInArrow(link, "a long, b long")
-
-
 def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
     """doc_id and print (binary): the 64-bit SimHash over shingles, repeats included."""
 
@@ -248,69 +93,66 @@ def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, print binary")
 
 
-def sketches(docs: DataFrame, words: int, width: int, bands: int, rows: int) -> DataFrame:
-    """doc_id, set (16 bytes that stand for the shingle set), print (SimHash of the set, ``width`` 64-bit words), keys (hashes of
-    ``rows`` minimum shingle hashes, one a band), shingles (the set: sorted 32-bit hashes, 4 bytes a distinct shingle)."""
+def _prints(table: pa.Table) -> np.ndarray:
+    """Rows of 64-bit words of the column ``print``."""
+    column = table.column("print").to_pylist()
+    return np.frombuffer(b"".join(column), dtype=np.uint64).reshape(len(column), -1)
+
+
+def at_radius(radius: int):
+    """Comparison of fingerprints alone."""
+
+    def near_of(table: pa.Table) -> Near:
+        prints = _prints(table)
+        return lambda q, rows: within(prints[rows] ^ prints[q], radius)
+
+    return near_of
 
-    def run(batches):
-        lanes = scramble(np.arange(1, bands * rows + 1, dtype=np.uint64), np.uint64(0x5851F42D4C957F2D))
-        for batch in batches:
-            sets, prints, keys, shingles = [], [], [], []
-            for text in texts(batch.column(1)):
-                u = np.unique(shingle_hashes(text, words))
-                sets.append(xxhash.xxh3_128_digest(u.tobytes()))
-                prints.append(simhash(u, width).astype(">u8").tobytes())
-                shingles.append(np.unique(u.astype(np.uint32)).tobytes())
-                u = u if len(u) else np.zeros(1, dtype=np.uint64)
-                least = np.array([scramble(u, s).min() for s in lanes], dtype=np.uint64).reshape(bands, rows)
-                mixed = np.arange(bands, dtype=np.uint64)
-                for r in range(rows):
-                    mixed = scramble(mixed, least[:, r])
-                keys.append(mixed.view(np.int64).tolist())
-            columns = [batch.column(0), pa.array(sets, type=pa.binary()), pa.array(prints, type=pa.binary()), pa.array(keys, type=pa.list_(pa.int64())), pa.array(shingles, type=pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "set", "print", "keys", "shingles"])
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, set binary, print binary, keys array<long>, shingles binary")
-
-
-def _members(prints: DataFrame, links: DataFrame, by: str) -> DataFrame:
-    """Every document with the smallest doc_id of its component; ``links`` joins representatives of equal ``by``."""
-    reps = prints.groupBy(by).agg(F.min("doc_id").alias("rep"))
-    found = components(links)
-    home = reps.join(found, reps.rep == found.node, "left").select(by, F.coalesce("component", "rep").alias("component_id"))
-    return prints.join(home, by)
 
+def at_radius_and_counted(radius: int, similarity: float):
+    """Comparison of fingerprints, then of the shared shingles of those within the radius."""
 
-def exact_links(docs: DataFrame, words: int = 3, radius: int = 2, tile: int = 8192) -> DataFrame:
+    def near_of(table: pa.Table) -> Near:
+        prints, sets = _prints(table), [np.frombuffer(s, dtype=np.uint32) for s in table.column("shingles").to_pylist()]
+
+        def near(q: np.ndarray, rows: np.ndarray) -> np.ndarray:
+            out = within(prints[rows] ^ prints[q], radius)
+            at = np.flatnonzero(out)
+            out[at] = alike(sets, q[at], rows[at], similarity)
+            return out
+
+        return near
+
+    return near_of
+
+
+def exact_links(docs: DataFrame, words: int = 3, radius: int = 2, tile: int = 4096) -> DataFrame:
     """doc_id, fingerprint, component_id: components of all pairs at ``radius`` (2 or less) or fewer differing bits.
 
     Texts without words have fingerprint zero and link like any other; null texts are empty. Rows without doc_id
-    get their component's smallest doc_id (null if it has none). Repeated rows stay, one row out for each row in.
+    get their component's smallest doc_id (null if it has none). Repeated rows stay, one row out for each row in; rows of
+    different texts that share a doc_id are documents of their own.
     """
     if not 0 <= radius <= 2:
         raise ValueError("four quarters find every pair at radius 0, 1 or 2 alone")
     prints = materialize(fingerprints(docs, words), "prints")
-    reps = prints.groupBy("print").agg(F.min("doc_id").alias("id")).where("id is not null")
+    reps = prints.groupBy("print").agg(F.min("doc_id").alias("doc_id")).where("doc_id is not null").select(F.struct("doc_id", "print").alias("id"), "print")
     quarter = [F.substring("print", 2 * k + 1, 2) for k in range(4)]
     keys = F.array(*[F.xxhash64(F.lit(k), quarter[a], quarter[b]) for k, (a, b) in enumerate(QUARTERS)])
-    links = bucket_links(reps.select(F.explode(keys).alias("key"), "id", "print"), radius, tile)
-    return _members(prints, links, "print").select("doc_id", F.lower(F.hex("print")).alias("fingerprint"), "component_id")
+    links = bucket_links(reps.select(F.explode(keys).alias("key"), "id", F.lit(8).cast("long").alias("bytes")), reps, at_radius(radius), tile)
+    found = components(links)
+    home = reps.join(found, reps["id"] == found["node"], "left").select("print", F.coalesce("component", "id")["doc_id"].alias("component_id"))
+    return prints.join(home, "print", "left").select("doc_id", F.lower(F.hex("print")).alias("fingerprint"), "component_id")
 
 
-def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, width: int = 4, bands: int = 16, rows: int = 3, slack: float = 6.0, tile: int = 4096) -> DataFrame:
-    """doc_id and component_id: components of documents whose shingle sets' similarity (Jaccard) is ``similarity`` or more.
+def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, width: int = 4, slack: float = 6.0, tile: int = 512) -> DataFrame:
+    """doc_id, tie and component_id, as ``neardup.near_copies`` with a fingerprint before the count.
 
-    Documents of one shingle set are one class before anything is compared. Bands of minimum hashes bring classes
-    together: of pairs at 0.8 they miss one in 100,000, of nearer ones fewer. A share s of equal shingles is a cosine of
-    2s / (1 + s) or more; SimHash leaves out pairs whose distance exceeds that angle's by ``slack`` standard errors, and
-    the shared shingles of the others are counted. Null and empty texts are one class, without other links.
+    A share s of equal shingles is a cosine of 2s / (1 + s) or more; SimHash leaves out pairs whose distance exceeds that
+    angle's by ``slack`` standard errors, and the shared shingles of the others are counted.
     """
     angle = np.arccos(2 * similarity / (1 + similarity)) / np.pi
     bits = 64 * width
     radius = int(bits * angle + slack * np.sqrt(bits * angle * (1 - angle)))
-    prints = materialize(sketches(docs, words, width, bands, rows), "sketches")
-    reps = prints.groupBy("set").agg(F.min("doc_id").alias("id"), F.min("keys").alias("keys"), F.min(F.octet_length("shingles")).cast("long").alias("bytes")).where("id is not null")
-    filed = reps.select(F.explode("keys").alias("key"), "id", "bytes")
-    sets = prints.select(F.col("doc_id").alias("id"), "print", "shingles")
-    links = bucket_links(filed, radius, tile, sets, similarity)
-    return _members(prints.select("doc_id", "set"), links, "set").select("doc_id", "component_id")
+    more = {"print": lambda u: simhash(u, width).astype(">u8").tobytes()}
+    return neardup.near_copies(docs, words, similarity, tile=tile, more=more, near_of=at_radius_and_counted(radius, similarity))

@@ -6,13 +6,17 @@ scored, one from each word on (``STRIDE`` 1), so that no verdict depends on wher
 over a window, attention pools their states, and a document's score is its worst window's. Training knows documents'
 labels alone: each step takes the worst windows of each document under the present network, of those at every
 ``TRAINING_STRIDE`` words. The first coordinate of the n-gram
-vectors starts at the n-grams' log odds in the sample, which tells the first steps where to look.
+vectors starts at the n-grams' log odds in the sample, which tells the first steps where to look. Gates are hard sigmoids
+(x / 4 + 1 / 2 within 0..1) and candidates hard tangents (x within -1..1), in training and scoring alike.
 
-Words are runs of ASCII letters and of characters beyond ASCII, without Unicode's spaces and punctuation. A run of more
+Words are runs of ASCII letters and digits and of characters beyond ASCII, without Unicode's spaces and punctuation. A run of more
 than ``MOST_BYTES`` bytes, as of scripts that leave no spaces between words, becomes several overlapping words, so that
 each of its bytes and n-grams enters a window.
 
-Null and empty texts have no words; they are scored as one window of padding.
+Null and empty texts have no words; they are scored as one window of padding. Texts of any length are scored whole, equal
+texts and repeated rows alike; an empty table gives an empty result; other columns pass through, but those named as a
+result column (in any case) are replaced. Equal worst windows are one score. Without labels of both classes every score is
+the share of label 1.
 """
 
 from __future__ import annotations
@@ -24,19 +28,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.arrow import texts, wider
+from corpusloom.llm.arrow import texts, wider, without
 from corpusloom.llm.training import class_shares, held_out, labelled_sample
 
-#: Runs of ASCII letters and of any characters beyond ASCII, in ASCII-lowered UTF-8.
-WORD = re.compile(rb"[a-z\x80-\xff]+")
+#: Runs of ASCII letters and digits and of any characters beyond ASCII, in ASCII-lowered UTF-8.
+WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 #: Spaces and punctuation beyond ASCII: Latin-1's, the general and supplemental blocks, those of East Asian scripts and full width.
 BETWEEN = re.compile(rb"\xc2[\x80-\xa9\xab-\xb1\xb4\xb6-\xb8\xbb-\xbf]|\xe2(?:\x80[\x80-\x8a\x8e-\xbf]|\x81[\x80-\x9f]|[\xb8\xb9][\x80-\xbf])|\xe3\x80[\x80-\x84\x88-\x9f\xb0]|\xe3\x83\xbb|\xef(?:\xb8[\xb0-\xbf]|\xb9[\x80-\xaf]|\xbc[\x81-\x8f\x9a-\xa0\xbb-\xbf]|\xbd[\x80\x9b-\xa5])")
 WINDOW, STRIDE = 32, 1
 TRAINING_STRIDE = 24  # of the windows that training chooses from
 HIDDEN, CHARS, WORDS = 8, 12, 6
 GRAM_BITS = 15
+VECTOR_RATE, FLOOR = 10.0, 1e-4  # of the vectors' adaptive steps
 LANES = 512  # windows that step together: their states stay in the processor's cache
-DENSE_LANES = 1024  # the same where windows start at every word
+DENSE_LANES = 4096  # the same where windows start at every word
 MOST_BYTES = 80  # of one word; longer runs are pieces of PIECE bytes, one from every PIECE_STEP bytes on
 PIECE, PIECE_STEP = 48, 24
 
@@ -91,31 +96,15 @@ def sum_rows(at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at[first], np.add.reduceat(rows[order], first, axis=0)
 
 
-def squash(x: np.ndarray) -> np.ndarray:
-    """x (27 + x^2) / (27 + 9 x^2) within -3..3: the hyperbolic tangent's fraction, several times quicker; in place."""
-    np.clip(x, -3, 3, out=x)
-    q = x * x
-    x *= q + np.float32(27)
-    q *= np.float32(9)
-    q += np.float32(27)
-    x /= q
-    return x
-
-
-def _squash_into(x: np.ndarray, q: np.ndarray, scale: np.float32) -> None:
-    """x becomes 9 scale squash(x), as scale x (1 + 24 / (3 + x^2)); q is room to work in."""
-    np.clip(x, np.float32(-3), np.float32(3), out=x)
-    np.multiply(x, x, out=q)
-    q += np.float32(3)
-    np.divide(np.float32(24) * scale, q, out=q)
-    q += scale
-    x *= q
-
-
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-x))
 
 
+def _inside(gate: np.ndarray) -> np.ndarray:
+    """Slope of the hard sigmoid."""
+    return np.float32(0.25) * ((gate > 0) & (gate < 1))
+
+
 class Network:
     """Parameters and both passes. Per direction: input W (D x 3H), state U (H x 3H), bias b (3H): update, reset, candidate."""
 
@@ -162,14 +151,13 @@ class Network:
                 g = np.ascontiguousarray(inputs.take(at[:, t], axis=0)[:, cols].T)
                 hu = u @ h
                 zr = g[: 2 * HIDDEN] + hu[: 2 * HIDDEN]
-                zr *= np.float32(0.5)
-                squash(zr)
-                zr *= np.float32(0.5)
+                zr *= np.float32(0.25)
                 zr += np.float32(0.5)
+                np.clip(zr, 0, 1, out=zr)
                 z, r = zr[:HIDDEN], zr[HIDDEN:]
                 c = r * hu[2 * HIDDEN :]
                 c += g[2 * HIDDEN :]
-                squash(c)
+                np.clip(c, -1, 1, out=c)
                 new = z * (h - c)
                 new += c
                 there = at[:, t] > 0
@@ -197,22 +185,23 @@ class Network:
         Neighbours' inputs overlap, so a step reads a slice in place of a gather; of the states, attention needs two
         numbers each, which the next step's product brings along.
         """
-        half = np.ones(3 * HIDDEN, dtype=np.float32)
-        half[: 2 * HIDDEN] = 0.5  # sigmoid(x) = (1 + tanh(x / 2)) / 2
+        slope, shift = np.ones(3 * HIDDEN, dtype=np.float32), np.zeros(3 * HIDDEN, dtype=np.float32)
+        slope[: 2 * HIDDEN], shift[: 2 * HIDDEN] = 0.25, 0.5  # the gates' hard sigmoid, but for its bounds
         steps = []
         for s, name in ((0, "f"), (1, "b")):
             own = slice(HIDDEN * s, HIDDEN * (s + 1))
-            u = np.concatenate([self.p[f"U{name}"].T * half[:, None], self.p["a"][None, own], self.p["u"][None, own]])
+            u = np.concatenate([self.p[f"U{name}"].T * slope[:, None], self.p["a"][None, own], self.p["u"][None, own]])
             steps.append((slice(3 * HIDDEN * s, 3 * HIDDEN * (s + 1)), np.ascontiguousarray(u, dtype=np.float32), range(WINDOW) if not s else range(WINDOW - 1, -1, -1)))
+        zero, one = np.float32(0), np.float32(1)
         out = np.empty(len(ids) - WINDOW + 1, dtype=np.float32)
         for lo in range(0, len(out), DENSE_LANES):
             n = min(DENSE_LANES, len(out) - lo)
             block = np.ascontiguousarray(inputs.take(ids[lo : lo + n + WINDOW - 1], axis=0).T)
             score, value = np.zeros((WINDOW, n), dtype=np.float32), np.zeros((WINDOW, n), dtype=np.float32)
             product = np.empty((3 * HIDDEN + 2, n), dtype=np.float32)
-            q, zr, c = (np.empty((k * HIDDEN, n), dtype=np.float32) for k in (2, 2, 1))
+            zr, c = np.empty((2 * HIDDEN, n), dtype=np.float32), np.empty((HIDDEN, n), dtype=np.float32)
             for cols, u, order in steps:
-                x = block[cols] * half[:, None]
+                x = block[cols] * slope[:, None] + shift[:, None]
                 h, before = np.zeros((HIDDEN, n), dtype=np.float32), None
                 for t in order:
                     np.matmul(u, h, out=product)
@@ -220,11 +209,10 @@ class Network:
                         score[before] += product[-2]
                         value[before] += product[-1]
                     np.add(x[: 2 * HIDDEN, t : t + n], product[: 2 * HIDDEN], out=zr)
-                    _squash_into(zr, q, np.float32(1 / 18))
-                    zr += np.float32(0.5)
+                    np.clip(zr, zero, one, out=zr)
                     np.multiply(zr[HIDDEN:], product[2 * HIDDEN : 3 * HIDDEN], out=c)
                     c += x[2 * HIDDEN :, t : t + n]
-                    _squash_into(c, q[:HIDDEN], np.float32(1 / 9))
+                    np.clip(c, -one, one, out=c)
                     h -= c
                     h *= zr[:HIDDEN]
                     h += c
@@ -254,8 +242,8 @@ class Network:
             name = "fb"[s]
             total = dh[s] + d_states[t, HIDDEN * s : HIDDEN * (s + 1)]
             live = np.where(there, total, 0)
-            dz, dc = live * (h - c) * z * (1 - z), live * (1 - z) * (1 - c * c)
-            dr = dc * hu[2 * HIDDEN :] * r * (1 - r)
+            dz, dc = live * (h - c) * _inside(z), live * (1 - z) * (np.abs(c) < 1)
+            dr = dc * hu[2 * HIDDEN :] * _inside(r)
             gates = np.concatenate([dz, dr, dc])
             d_hu = np.concatenate([dz, dr, dc * r])
             g[f"U{name}"] += h @ d_hu.T
@@ -351,7 +339,7 @@ def train(sample: list[tuple[bytes, int]], share: float, epochs: int = 5, batch:
                 distinct, total = sum_rows(at_rows, g)
                 v = moments[k][1]
                 v[distinct] += total * total
-                net.p[k][distinct] -= 5 * lr * total / (np.sqrt(v[distinct]) + 1e-4)
+                net.p[k][distinct] -= VECTOR_RATE * lr * total / (np.sqrt(v[distinct]) + FLOOR)
             net.p["E"][0] = 0
     shift = np.log(max(share, 1e-6) / max(1 - share, 1e-6)) - np.log(max(y.mean(), 1e-6) / max(1 - y.mean(), 1e-6))
     net.p["c"][0] += np.float32(0.5 * shift)
@@ -380,6 +368,10 @@ class Scorer:
     def score(self, batch: list[bytes]) -> list[float]:
         if self.used > self.memory:
             self.rows, self.used = {}, 1
+        distinct = list(dict.fromkeys(batch))  # equal texts are scored once
+        if len(distinct) < len(batch):
+            known = dict(zip(distinct, self.score(distinct), strict=True))
+            return [known[t] for t in batch]
         tokens = [words_of(t) for t in batch]
         unknown = set().union(*tokens).difference(self.rows) if tokens else set()
         self._learn(sorted(unknown))
@@ -410,7 +402,6 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, modulus: int = 5, remaind
     sample = labelled_sample(docs, labels, "toxic", modulus, remainder, most, most_chars).collect()
     sample.sort(key=lambda r: (r.doc_id, r.text))
     net = train([(r.text.encode(), r.label) for r in sample], class_shares(labels, "toxic", modulus, remainder))
-    fields = [f.name for f in docs.schema.fields if f.name not in ("held_out", "score", "predicted")]
 
     def run(batches):
         scorer = Scorer(net)
@@ -428,6 +419,6 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, modulus: int = 5, remaind
                 scores += scorer.score(held)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, type=pa.float64())], names=[*batch.schema.names, "score"])
 
-    kept = docs.select(*[F.col(f"`{f}`") for f in fields]).withColumn("held_out", held_out(modulus, remainder))
+    kept = without(docs, "held_out", "score", "predicted").withColumn("held_out", held_out(modulus, remainder))
     scored = kept.mapInArrow(run, wider(kept, "score double"))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
