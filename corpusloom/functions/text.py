@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WORD = r"[\p{L}\p{N}_]+"
@@ -15,6 +15,13 @@ STOPWORDS = {
     "de": ("der", "die", "das", "und", "in", "den", "von", "zu", "mit", "sich", "des", "auf", "ist", "ein", "nicht"),
     "es": ("el", "la", "los", "de", "que", "y", "en", "un", "una", "del", "las", "por", "con", "para", "es"),
 }
+#: Portuguese function words of three lists: for quality and language, for abstracts, for instruction pairs; English ones to tell an abstract.
+PT = tuple("de da do das dos e o a os as em no na nos nas para por com que um uma se ao à como mais foi são ser não sobre entre pelo pela".split())
+PT_ABSTRACT = tuple("de da do das dos e o a os as em no na para por com que um uma se ao como foi ser não sobre entre pelo pela este esta".split())
+PT_PAIRS = tuple("de da do das dos e o a os as em no na para por com que um uma se ao como foi não".split())
+EN_PAIRS = tuple("the of and in to is was with were for this that are by from which".split())
+#: Accented letters and what they are without accents.
+ACCENTED, BARE = "áàâãäåéèêëíìîïóòôõöúùûüçñýÿÁÀÂÃÄÅÉÈÊËÍÌÎÏÓÒÔÕÖÚÙÛÜÇÑÝ", "aaaaaaeeeeiiiiooooouuuucnyyAAAAAAEEEEIIIIOOOOOUUUUCNY"
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 #: Characters of an unwelcome answer page that asks for a proof of humanity.
 CHALLENGES = ("just a moment", "checking your browser", "captcha", "access denied", "enable javascript and cookies")
@@ -50,9 +57,19 @@ def short_hash(text: Column) -> Column:
     return F.substring(F.sha1(text), 1, 16)
 
 
-def slug(text: Column, most: int = 80) -> Column:
-    plain = F.translate(F.lower(text), "áàâãäéèêëíìîïóòôõöúùûüçñ", "aaaaaeeeeiiiiooooouuuucn")
-    return F.left(F.btrim(F.regexp_replace(plain, "[^a-z0-9]+", "-"), F.lit("-")), F.lit(most))
+def bare(text: Column) -> Column:
+    """Without accents, in lower case."""
+    return F.lower(F.translate(text, ACCENTED, BARE))
+
+
+def name_key(text: Column) -> Column:
+    """Folded to ASCII, runs of anything but letters and digits to one underscore, none at the ends."""
+    return F.btrim(F.regexp_replace(bare(text), "[^a-z0-9]+", "_"), F.lit("_"))
+
+
+def slug(text: Column, most: int = 80, default: str = "sem-titulo") -> Column:
+    plain = F.btrim(F.regexp_replace(bare(text), "[^a-z0-9]+", "-"), F.lit("-"))
+    return F.coalesce(F.nullif(F.left(plain, F.lit(most)), F.lit("")), F.lit(default))
 
 
 def year(text: Column, low: int = 1800, high: int = 2099) -> Column:
@@ -73,19 +90,67 @@ def any_term(text: Column, terms) -> Column:
 
 def any_word(text: Column, terms, allowed=()) -> Column:
     """Whether any term stands as whole words, after the allowed expressions are deleted."""
-    plain = F.lower(text)
+    plain = bare(text)
     for a in allowed:
         plain = F.replace(plain, F.lit(a), F.lit(" "))
     plain = F.concat(F.lit("_"), F.regexp_replace(plain, "[^a-z0-9]+", "_"), F.lit("_"))
     return reduce(lambda a, b: a | b, [F.contains(plain, F.lit(f"_{t}_")) for t in terms])
 
 
+def share_of(tokens: Column, stop) -> Column:
+    """Share of an array's words that are in ``stop``; zero for none."""
+    return F.coalesce(F.size(F.filter(tokens, lambda x: x.isin(*stop))) / F.nullif(F.size(tokens), F.lit(0)), F.lit(0.0))
+
+
+def in_portuguese(text: Column, least: float = 0.06) -> Column:
+    """Whether a text of 20 words or more has enough Portuguese function words, and more of them than English ones; shorter texts pass."""
+    w = words(F.lower(text))
+    pt, en = share_of(w, PT_PAIRS), share_of(w, EN_PAIRS)
+    return (F.size(w) < 20) | ((pt >= least) & (pt > en))
+
+
+def with_language(df: DataFrame, text: str, name: str = "language", lists: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
+    """``df`` with a struct (lang, confidence) of column ``text``, by function words; null for null.
+
+    Three windows from the middle of long texts vote, shorter texts are one window. A window speaks for the language with
+    most function words (the first by name on ties), as sure as their share of all languages' ones. The language of most
+    windows wins, then of the highest mean; ``un`` with 0 if no window speaks.
+    """
+    lists = dict(sorted((lists or STOPWORDS | {"pt": PT}).items()))
+    t, n = F.col(text), F.length(text)
+    part = lambda f: F.substr(t, F.floor(n * f).cast("int") + 1, F.lit(3000))
+    windows = F.when(n > 9000, F.array(part(0.25), part(0.5), part(0.75))).otherwise(F.array(F.left(t, F.lit(5000))))
+
+    def of(stop):
+        return lambda x: x.isin(*stop)
+
+    # of all words, those that some language counts: each is looked up once
+    every = sorted({w for stop in lists.values() for w in stop})
+    df = df.withColumn("_spoken", F.transform(windows, lambda w: F.filter(words(F.lower(w)), of(every))))
+    df = df.withColumn("_counts", F.transform("_spoken", lambda w: F.array(*[F.size(F.filter(w, of(stop))) for stop in lists.values()])))
+
+    def said(c: Column) -> Column:
+        top = F.array_max(c)
+        return F.struct(F.array_position(c, top).alias("k"), (top / F.aggregate(c, F.lit(0), lambda a, x: a + x)).alias("p"))
+
+    df = df.withColumn("_said", F.transform(F.filter("_counts", lambda c: F.array_max(c) > 0), said))
+
+    def verdict(k: int, lang: str) -> Column:
+        own = F.filter("_said", lambda x: x["k"] == k)
+        mean = F.aggregate(own, F.lit(0.0), lambda a, x: a + x["p"]) / F.nullif(F.size(own), F.lit(0))
+        return F.struct(F.size(own).alias("n"), F.coalesce(mean, F.lit(0.0)).alias("p"), F.lit(lang).alias("lang"))
+
+    df = df.withColumn("_best", F.array_max(F.array(*[verdict(k, lang) for k, lang in enumerate(lists, 1)])))
+    lang = F.when(F.col("_best.n") > 0, F.col("_best.lang")).otherwise("un")
+    return df.withColumn(name, F.when(t.isNotNull(), F.struct(lang.alias("lang"), F.col("_best.p").alias("confidence")))).drop("_spoken", "_counts", "_said", "_best")
+
+
 def host(url: Column) -> Column:
-    return F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]+)", 1))
+    return F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(\[[^\]]*\]|[^/?#:]+)", 1))
 
 
 def internal_host(h: Column) -> Column:
-    return (h == "") | h.rlike(r"^(localhost|127\.|10\.|192\.168\.|169\.254\.|0\.0\.0\.0|172\.(1[6-9]|2[0-9]|3[01])\.)")
+    return (h == "") | h.rlike(r"(^|\.)localhost$") | h.rlike(r"^\[(::1?|f[cd][0-9a-f]{2}:.*|fe[89ab][0-9a-f]:.*)\]$") | h.rlike(r"^(localhost|127\.|10\.|192\.168\.|169\.254\.|0\.0\.0\.0|172\.(1[6-9]|2[0-9]|3[01])\.)")
 
 
 def single_slashes(url: Column) -> Column:

