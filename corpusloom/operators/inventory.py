@@ -2,43 +2,80 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from corpusloom.functions import text as T
+from corpusloom.operators.corpus import ranked
 
 
 def capped(df: DataFrame, group: list[str], key: str, most: int, seed: int = 42) -> DataFrame:
     """The first ``most`` rows of each group in hashed order."""
-    order = Window.partitionBy(*group).orderBy(T.seeded_order(seed, F.col(key)), key)
-    return df.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= most)
+    return in_turn(df, group, T.seeded_order(seed, F.col(key)), key).withColumnRenamed("_rank", "nth").drop("_n").where(F.col("nth") <= most)
 
 
 def quotas(df: DataFrame, strata: list[str], n: int, reserve: float = 4.0) -> DataFrame:
     """Of each stratum: population, quota in proportion (half-even, 1 at least) and queue length."""
-    total = df.count()
     pop = df.groupBy(*strata).agg(F.count(F.lit(1)).alias("population"))
+    total = F.sum("population").over(Window.partitionBy())  # one row a stratum
     quota = F.greatest(F.lit(1), F.bround(F.lit(n) * F.col("population") / total).cast("int"))
     return pop.withColumn("quota", quota.cast("long")).withColumn("queue", F.least(F.col("population"), F.floor(F.col("quota") * reserve)).cast("long"))
 
 
 def stratified(df: DataFrame, strata: list[str], key: str, n: int, seed: int = 42, reserve: float = 4.0) -> DataFrame:
     """Rows of each stratum's queue with their position; the first ``quota`` of them are the sample."""
-    q = quotas(df, strata, n, reserve)
-    order = Window.partitionBy(*strata).orderBy(T.seeded_order(seed, F.col(key)), key)
-    ranked = df.withColumn("position", (F.row_number().over(order) - 1).cast("long"))
-    return ranked.join(q, strata).where("position < queue").withColumn("in_quota", F.col("position") < F.col("quota"))
+    q = quotas(df, strata, n, reserve).withColumnsRenamed({s: f"_q_{s}" for s in strata})
+    ranked = in_turn(df, strata, T.seeded_order(seed, F.col(key)), key).withColumn("position", F.col("_rank") - 1).drop("_rank", "_n")
+    met = reduce(lambda a, b: a & b, [F.col(s).eqNullSafe(F.col(f"_q_{s}")) for s in strata])
+    return ranked.join(F.broadcast(q) if q.limit(10_001).count() <= 10_000 else q, met).where("position < queue").withColumn("in_quota", F.col("position") < F.col("quota")).drop(*[f"_q_{s}" for s in strata])
+
+
+def in_turn(df: DataFrame, group: list[str], order: Column, key: str, buckets: int = 256) -> DataFrame:
+    """``df`` with _rank (from 1) by a hexadecimal hash in each group, and _n, its size; a group of any size is many tasks."""
+    placed = df.withColumn("_order", order)
+    placed = placed.withColumn("_bucket", (F.conv(F.substring("_order", 1, 8), 16, 10).cast("long") * buckets / 2**32).cast("int"))
+    return ranked(placed, ["_bucket"], ["_order", key], group).drop("_order", "_bucket")
 
 
 def appended(existing: DataFrame, new: DataFrame, key: str, stratum: str, position: str) -> DataFrame:
-    """New rows not there yet, behind the end of their stratum's queue in order of key."""
-    fresh = new.join(existing.select(key), key, "left_anti")
+    """New rows not there yet, behind the end of their stratum's queue in order of key; rows without a key do not count."""
+    fresh = new.where(F.col(key).isNotNull()).dropDuplicates([key]).join(existing.select(key), key, "left_anti")
     ends = existing.groupBy(stratum).agg(F.max(position).alias("_end"))
     order = Window.partitionBy(stratum).orderBy(key)
     return fresh.join(ends, stratum, "left").withColumn(position, F.coalesce(F.col("_end"), F.lit(-1)) + F.row_number().over(order)).drop("_end")
 
 
+def merged(existing: DataFrame, new: DataFrame, key: str = "chave_origem", stratum: str = "estrato", position: str = "ordem_na_fila", quota: str = "cota_estrato", initial: str = "na_cota_inicial") -> DataFrame:
+    """The inventory with ``new`` appended to the queues; a stratum's quota grows by what it got, and nobody is drawn anew."""
+    added = appended(existing, new, key, stratum, position).withColumn(initial, F.lit(False))
+    every = existing.unionByName(added, allowMissingColumns=True)
+    grown = added.groupBy(stratum).agg(F.count(F.lit(1)).alias("_more"))
+    old = existing.groupBy(stratum).agg(F.coalesce(F.max(quota), F.lit(0)).alias("_quota"))
+    with_more = every.join(grown, stratum, "left").join(old, stratum, "left")
+    value = F.when(F.col("_more").isNotNull(), F.coalesce("_quota", F.lit(0)) + F.col("_more")).otherwise(F.col(quota))
+    return with_more.withColumn(quota, value.cast(existing.schema[quota].dataType)).select(every.columns)
+
+
+def interleaved(df: DataFrame, group: str, stratum: str, position: str, size: int = 200) -> DataFrame:
+    """Place and round of each row of a group: its strata take turns, and a round takes ``size`` of every group.
+
+    Order the result by (round, group, place) for the plan of a harvest.
+    """
+    turn = Window.partitionBy(group).orderBy("_turn", stratum)
+    at = df.withColumn("_turn", F.row_number().over(Window.partitionBy(group, stratum).orderBy(position)))
+    return at.withColumn("place", (F.row_number().over(turn) - 1).cast("long")).withColumn("round", F.floor(F.col("place") / size).cast("long")).drop("_turn")
+
+
+def stratum_report(attempts: DataFrame, quotas_of: DataFrame, stratum: str, got: Column) -> DataFrame:
+    """Of each stratum: quota, attempts, obtained, resolution rate to four decimals and whether the quota is closed."""
+    tried = attempts.groupBy(stratum).agg(F.count(F.lit(1)).alias("attempts"), F.sum(got.cast("long")).alias("obtained"))
+    out = quotas_of.join(tried, stratum, "left").fillna(0, ["attempts", "obtained"])
+    return out.withColumn("rate", F.round(F.coalesce(F.col("obtained") / F.nullif(F.col("attempts"), F.lit(0)), F.lit(0.0)), 4)).withColumn("closed", F.col("obtained") >= F.col("quota"))
+
+
 def rounds(df: DataFrame, group: str, order: Column, size: int) -> DataFrame:
     """Turns of ``size`` rows a group: the round of each row."""
     return df.withColumn("round", F.floor((F.row_number().over(Window.partitionBy(group).orderBy(order)) - 1) / size).cast("long"))
@@ -53,11 +90,12 @@ def failure_runs(df: DataFrame, group: str, time: list[str], failed: Column) ->
     return runs.groupBy(group).agg(F.max("length").cast("long").alias("longest_run"), F.sum("n").cast("long").alias("attempts"), F.sum("length").cast("long").alias("failures"))
 
 
-def linkage_pairs(df: DataFrame, key: str, name: str, block: Column, most: int = 2) -> DataFrame:
-    """Pairs inside a block whose names are at edit distance ``most`` or less; blocking keeps this from all pairs."""
+def linkage_pairs(df: DataFrame, key: str, name: str, block: Column, most: int = 2, most_members: int = 400) -> DataFrame:
+    """Pairs inside a block whose names are at edit distance ``most`` or less; blocks of more members have a key that tells nothing."""
     a = df.select(F.col(key).alias("a"), F.col(name).alias("a_name"), block.alias("block"))
     b = a.select(F.col("a").alias("b"), F.col("a_name").alias("b_name"), "block")
-    pairs = a.join(b, "block").where("a < b")
+    sizes = a.groupBy("block").agg(F.count(F.lit(1)).alias("n")).where(F.col("n").between(2, most_members)).select("block")
+    pairs = a.join(sizes, "block").join(b, "block").where("a < b")
     return pairs.withColumn("distance", F.levenshtein("a_name", "b_name").cast("long")).where(F.col("distance") <= most).select("a", "b", "distance")
 
 

@@ -215,14 +215,6 @@ def html_links(spark, sf_dir):
     return read(spark, sf_dir, "pages").select("page_id", F.size(links).cast("long").alias("n_links"), F.coalesce(F.get(links, 0), F.lit("")).alias("first_link"))
 
 
-_CHALLENGE = " OR ".join(f"contains(lower(html), '{x}')" for x in T.CHALLENGES)
-
-
-@query(f"SELECT page_id, ({_CHALLENGE}) AS challenge FROM pages")
-def challenge_pages(spark, sf_dir):
-    return read(spark, sf_dir, "pages").select("page_id", T.any_term(F.lower("html"), T.CHALLENGES).alias("challenge"))
-
-
 _HOST = r"lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]+)', 1))"
 
 
@@ -394,14 +386,15 @@ def year_band(spark, sf_dir):
     return read(spark, sf_dir, "orders").groupBy(T.year_band(F.year("o_orderdate")).alias("band")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')")
 def integrity_orphans(spark, sf_dir):
-    return I.orphans(read(spark, sf_dir, "customer"), read(spark, sf_dir, "orders"), "c_custkey", "o_custkey").select("c_custkey")
+    return I.orphans(read(spark, sf_dir, "customer"), read(spark, sf_dir, "orders").where("o_orderstatus = 'P'"), "c_custkey", "o_custkey").select("c_custkey")
 
 
-@query("SELECT count(*)::BIGINT AS broken FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)")
+@query("SELECT count(*)::BIGINT AS broken FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 10 <> 3)")
 def integrity_fk(spark, sf_dir):
-    return I.orphans(read(spark, sf_dir, "lineitem"), read(spark, sf_dir, "orders"), "l_orderkey", "o_orderkey").agg(F.count(F.lit(1)).alias("broken"))
+    """Orders whose key ends in 3 are taken away first, so that some lines are broken."""
+    return I.orphans(read(spark, sf_dir, "lineitem"), read(spark, sf_dir, "orders").where("o_orderkey % 10 <> 3"), "l_orderkey", "o_orderkey").agg(F.count(F.lit(1)).alias("broken"))
 
 
 @query("SELECT (count(*) - count(DISTINCT (p_name, p_size)))::BIGINT AS repeated FROM part")
@@ -460,13 +453,15 @@ def pii_gate_hits(spark, sf_dir):
 
 
 @query(
-    """WITH p AS (SELECT conv_id, turn, list_filter(list_transform(string_split(text, E'\\n'), lambda x: trim(x, ' ')), lambda x: x <> '') AS l FROM conversations),
+    """WITH p AS (SELECT conv_id, turn, list_filter(list_transform(string_split('Running head' || chr(10) || text || chr(10) || 'page foot', E'\\n'), lambda x: trim(x, ' ')), lambda x: x <> '') AS l FROM conversations),
 e AS (SELECT DISTINCT conv_id, turn, unnest(list_concat(l[1:2], l[-2:])) AS line FROM p),
 c AS (SELECT conv_id, line, count(*)::BIGINT AS n_pages FROM e WHERE length(line) BETWEEN 3 AND 120 GROUP BY ALL), n AS (SELECT conv_id, count(DISTINCT turn) AS pages FROM conversations GROUP BY conv_id)
 SELECT conv_id, line, n_pages FROM c JOIN n USING (conv_id) WHERE pages >= 4 AND n_pages >= greatest(floor(pages * 0.6::DOUBLE), 3)"""
 )
 def page_edge_lines(spark, sf_dir):
-    return S.page_edges(read(spark, sf_dir, "conversations"), "conv_id", "turn", "text")
+    """Conversations as pages, each with a running head and foot."""
+    pages = read(spark, sf_dir, "conversations").withColumn("text", F.concat(F.lit("Running head\n"), F.col("text"), F.lit("\npage foot")))
+    return S.page_edges(pages, "conv_id", "turn", "text")
 
 
 @query("SELECT event_type, count(*)::BIGINT AS n, min(event_id)::BIGINT AS first_event FROM (SELECT DISTINCT event_id, event_type FROM events) GROUP BY event_type")

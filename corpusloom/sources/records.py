@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 #: First bytes of common files, in hex.
-SIGNATURES = {"pdf": "25504446", "zip": "504B0304", "png": "89504E47", "jpeg": "FFD8FF", "gzip": "1F8B"}
+SIGNATURES = {"pdf": "25504446", "zip": "504B0304", "ole": "D0CF11E0", "png": "89504E47", "jpg": "FFD8FF", "gzip": "1F8B"}
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
@@ -44,9 +44,9 @@ def halved(windows: DataFrame) -> DataFrame:
 
 
 def file_kind(content: Column) -> Column:
-    """Kind of a file by its first bytes; ``html`` for a leading angle bracket, else ``unknown``; null for null."""
+    """Kind of a file by its first bytes; ``html`` for a leading angle bracket, else ``desconhecido``; null for null."""
     head = F.hex(F.substring(content, 1, 8))
     kind = F.when(content.isNull(), F.lit(None).cast("string"))
     for name, start in SIGNATURES.items():
         kind = kind.when(head.startswith(start), name)
-    return kind.when(F.regexp_like(head, F.lit("^(09|0A|0D|20)*3C")), "html").otherwise("unknown")
+    return kind.when(F.regexp_like(head, F.lit("^(09|0A|0D|20)*3C")), "html").otherwise("desconhecido")

@@ -37,7 +37,7 @@ def test_windows_halves_and_kinds(spark):
     days = R.halved(R.halved(R.halved(R.halved(w)))).collect()
     assert sorted(str(r.first_day) for r in days) == [f"2024-01-{d:02}" for d in range(1, 11)] and all(r.first_day == r.last_day for r in days)
     files = spark.createDataFrame([(b"%PDF-1.4",), (b"PK\x03\x04..",), (b" \n<html>",), (b"text",), (b"",), (None,)], "c binary")
-    assert [r[0] for r in files.select(R.file_kind(F.col("c"))).collect()] == ["pdf", "zip", "html", "unknown", "unknown", None]
+    assert [r[0] for r in files.select(R.file_kind(F.col("c"))).collect()] == ["pdf", "zip", "html", "desconhecido", "desconhecido", None]
 
 
 def test_json_lines_and_stream(spark, tmp_path):
