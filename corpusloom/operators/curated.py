@@ -94,7 +94,7 @@ def split_documents(df: DataFrame, texts: DataFrame, seed: int = 42, train: floa
 
 def keywords(text: Column) -> Column:
     """A list of keywords without classification codes."""
-    parts = F.transform(F.split(F.coalesce(text, F.lit("")), r"[;|]"), F.btrim)
+    parts = F.transform(F.split(F.coalesce(text, F.lit("")), r"[;|]"), lambda x: F.btrim(x))
     return F.array_join(F.filter(parts, lambda x: (x != "") & ~F.contains(x, F.lit("::"))), "; ")
 
 

@@ -13,7 +13,7 @@ def page_edges(pages: DataFrame, document: str, page: str, text: str, edge: int
 
     Enough is ``share`` of its pages rounded down, and ``least`` at least; documents of fewer than ``fewest_pages`` have none.
     """
-    lines = F.filter(F.transform(F.split(text, "\n"), F.btrim), lambda x: x != "")
+    lines = F.filter(F.transform(F.split(text, "\n"), lambda x: F.btrim(x)), lambda x: x != "")
     df = pages.select(document, page, lines.alias("l"))
     ends = F.array_distinct(F.concat(F.slice("l", 1, edge), F.when(F.size("l") > edge, F.slice("l", F.greatest(F.size("l") - edge + 1, F.lit(1)), edge)).otherwise(F.array().cast("array<string>"))))
     seen = df.select(document, page, F.explode(ends).alias("line")).where(F.length("line").between(3, 120)).distinct()

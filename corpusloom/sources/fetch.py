@@ -335,7 +335,7 @@ def quota_harvest(plan: DataFrame, make: Callable[[], Resolver], folder: str, do
     share = -(-goal // institutions) if goal else 0
 
     def run(key, frame: pd.DataFrame) -> pd.DataFrame:
-        had = frame["_had"].fillna(False).astype(bool)
+        had = frame["_had"].eq(True)
         resolver, out = make(), []
         state = Breaker(history={key[0]: int(had.sum())}, **breaker)
         got = defaultdict(int, frame[had].groupby("estrato").size().to_dict())

@@ -160,7 +160,7 @@ def as_record(candidates: DataFrame) -> DataFrame:
     """Candidates in the shape of a metadata record, so that staging reads every source alike."""
     c = F.col
     some = lambda name: F.coalesce(c(name), F.lit(""))
-    words = F.filter(F.transform(F.split(F.coalesce(F.nullif("palavras_chave", F.lit("")), c("area"), F.lit("")), ";"), F.btrim), lambda x: x != "")
+    words = F.filter(F.transform(F.split(F.coalesce(F.nullif("palavras_chave", F.lit("")), c("area"), F.lit("")), ";"), lambda x: F.btrim(x)), lambda x: x != "")
     one = lambda name: F.array(some(name))
     none = F.array().cast("array<string>")
     people = F.struct(F.when(some("autor") != "", F.array("autor")).otherwise(none).alias("primary"), none.alias("secondary"), none.alias("corporate"))
