@@ -159,7 +159,7 @@ def single_slashes(url: Column) -> Column:
 
 
 def _mod11(digits: Column, weights: list[int]) -> Column:
-    total = reduce(lambda a, b: a + b, [F.substring(digits, i + 1, 1).cast("int") * w for i, w in enumerate(weights)])
+    total = reduce(lambda a, b: a + b, [F.substring(digits, i + 1, 1).try_cast("int") * w for i, w in enumerate(weights)])
     return F.when(total % 11 < 2, 0).otherwise(11 - total % 11)
 
 
@@ -167,7 +167,7 @@ def valid_cpf(digits: Column) -> Column:
     """Eleven digits, not all equal, whose last two are the mod-11 check digits."""
     shape = digits.rlike(r"^\d{11}$") & ~digits.rlike(r"^(\d)\1{10}$")
     first, second = _mod11(digits, list(range(10, 1, -1))), _mod11(digits, list(range(11, 1, -1)))
-    return shape & (F.substring(digits, 10, 1).cast("int") == first) & (F.substring(digits, 11, 1).cast("int") == second)
+    return shape & (F.substring(digits, 10, 1).try_cast("int") == first) & (F.substring(digits, 11, 1).try_cast("int") == second)
 
 
 def seeded_order(seed: int, *ids: Column) -> Column:
