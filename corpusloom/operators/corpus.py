@@ -149,7 +149,7 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, n: int = 8, least: int
     Shingles travel as 64-bit hashes. Up to ``filtered`` hashes of the benchmark are broadcast, so that those of the corpus
     meet them where they are made; a larger benchmark is joined by a shuffle. The items' shared counts are small either way.
     """
-    b = materialize(shingles(benchmark, n, "item_id").select("item_id", F.xxhash64("shingle").alias("h")), "items")
+    b = materialize(hashed_shingles(benchmark, n, "item_id"), "items")
     a = hashed_shingles(docs, n)
     if b.limit(filtered + 1).count() <= filtered:
         b = F.broadcast(b)
@@ -159,7 +159,7 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, n: int = 8, least: int
 def hashed_shingles(docs: DataFrame, n: int = 5, id_column: str = "doc_id") -> DataFrame:
     """(id, h): 64-bit hashes of the distinct n-word shingles of the lower-cased text."""
     df = docs.select(id_column, T.words(F.lower("text")).alias("w")).where(F.size("w") >= n)
-    grams = F.transform(F.sequence(F.lit(1), F.size("w") - (n - 1)), lambda i: F.xxhash64(F.array_join(F.slice("w", i, n), " ")))
+    grams = F.transform(F.sequence(F.lit(1), F.size("w") - (n - 1)), lambda i: F.xxhash64(F.slice("w", i, n)))
     return df.select(id_column, F.explode(F.array_distinct(grams)).alias("h"))
 
 
