@@ -101,7 +101,7 @@ def _farthest(profiles: DataFrame, chosen: np.ndarray):
     return profiles.mapInArrow(run, "near double, id long, tie long, n binary").orderBy("near", "id", "tie").limit(1).collect()
 
 
-def _sums(profiles: DataFrame, c: np.ndarray) -> np.ndarray:
+def _sums(profiles: DataFrame, c: np.ndarray, most_sums: int = 64) -> np.ndarray:
     """Sum of the profiles nearest to each centroid, in steps of 2^-32: whole numbers add up alike in any order."""
 
     def emit(total):
@@ -125,9 +125,9 @@ def _sums(profiles: DataFrame, c: np.ndarray) -> np.ndarray:
         yield from emit(total)
 
     sums, parts = profiles.mapInArrow(run, "total binary"), profiles.rdd.getNumPartitions()
-    if parts > 64:  # the driver gets about the square root of them
-        sums = sums.repartition(int(np.ceil(np.sqrt(parts)))).mapInArrow(merge, "total binary")
-    return sum((np.frombuffer(r.total, dtype=np.int64).reshape(c.shape) for r in sums.toLocalIterator()), np.zeros(c.shape, dtype=np.int64))
+    if parts > most_sums:  # the driver gets at most so many sums, whatever the table's size
+        sums = sums.repartition(most_sums).mapInArrow(merge, "total binary")
+    return sum((np.frombuffer(r.total, dtype=np.int64).reshape(c.shape) for r in sums.collect()), np.zeros(c.shape, dtype=np.int64))
 
 
 def topic_centroids(docs: DataFrame, topics: int = 8, rounds: int = 12) -> np.ndarray:

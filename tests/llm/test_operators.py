@@ -91,6 +91,8 @@ def test_topics_are_fitted_on_all_documents(spark):
     assert got.shape == c.shape and np.allclose(got, c, atol=1e-6)
     to = (x @ got.T).argmax(1)
     assert to[-3] == to[-2] and (to == to[-2]).sum() == 2
+    profiles = mixing._profiles(docs)  # five partitions: added up where they are, or merged to two sums first
+    assert np.array_equal(mixing._sums(profiles, got), mixing._sums(profiles, got, most_sums=2))
 
 
 def test_mixing_rakes_every_category(spark):
