@@ -198,6 +198,12 @@ def split_by_group(docs: DataFrame, key: list[str], seed: int = 42, train: float
     return ranked(groups, ["_bucket"], ["_order", *key]).withColumn("split", F.when(F.col("_rank") <= F.floor(F.col("_n") * train), "train").when(F.col("_rank") <= F.floor(F.col("_n") * train) + F.floor(F.col("_n") * validation), "validation").otherwise("test")).drop("_rank", "_n", "_bucket", "_order")
 
 
+def one_each(df: DataFrame, key: list[str]) -> DataFrame:
+    """One row of each key, the same whatever the order of rows: the one whose JSON has the least hash. Null is a key."""
+    row = F.struct(*df.columns)
+    return df.groupBy(*key).agg(F.min_by(row, F.sha2(F.to_json(row), 256)).alias("_row")).select("_row.*")
+
+
 def ranked(df: DataFrame, bucket: list[str], order: list[str], within: list[str] = ()) -> DataFrame:
     """``df`` with _rank (from 1, in order of bucket, then ``order``) and _n (all rows), of each group ``within``.
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from corpusloom.functions import text as T
-from corpusloom.operators.corpus import ranked
+from corpusloom.operators.corpus import one_each, ranked
 
 
 def capped(df: DataFrame, group: list[str], key: str, most: int, seed: int = 42) -> DataFrame:
@@ -42,7 +42,7 @@ def in_turn(df: DataFrame, group: list[str], order: Column, key: str, buckets: i
 
 def appended(existing: DataFrame, new: DataFrame, key: str, stratum: str, position: str) -> DataFrame:
     """New rows not there yet, behind the end of their stratum's queue in order of key; rows without a key do not count."""
-    fresh = new.where(F.col(key).isNotNull()).dropDuplicates([key]).join(existing.select(key), key, "left_anti")
+    fresh = one_each(new.where(F.col(key).isNotNull()), [key]).join(existing.select(key), key, "left_anti")
     ends = existing.groupBy(stratum).agg(F.max(position).alias("_end"))
     order = Window.partitionBy(stratum).orderBy(key)
     return fresh.join(ends, stratum, "left").withColumn(position, F.coalesce(F.col("_end"), F.lit(-1)) + F.row_number().over(order)).drop("_end")

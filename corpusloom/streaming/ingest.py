@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from corpusloom.operators.corpus import one_each
+
 
 def file_stream(spark: SparkSession, folder: str, schema: StructType | str, form: str = "json", pattern: str = "*", files_a_batch: int = 1000) -> DataFrame:
     """A stream over the files of a folder whose names fit ``pattern``."""
@@ -21,7 +23,7 @@ def ingest(stream: DataFrame, table: str, key: list[str], state: str) -> DataFra
     spark, schema = stream.sparkSession, stream.schema
 
     def take(batch: DataFrame, n: int) -> None:
-        new = batch.dropDuplicates(key)
+        new = one_each(batch, key)
         if n:
             before = batch.sparkSession.read.schema(schema).option("basePath", table).parquet(table).where(f"batch < {int(n)}")
             new = new.join(before.select(*key), key, "left_anti")

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.operators import structure as S
+from corpusloom.operators.corpus import one_each
 from corpusloom.sources import records as R
 from corpusloom.streaming.ingest import file_stream, ingest
 
@@ -52,3 +53,11 @@ def test_json_lines_and_stream(spark, tmp_path):
     assert take() == [(1, "x"), (2, "y"), (3, "z")]
     R.write_jsonl(R.read_jsonl(spark, str(folder / "a.json"), "k long, v string"), str(tmp_path / "out"), per_file=2)
     assert R.read_jsonl(spark, str(tmp_path / "out"), "k long, v string").count() == 3
+
+
+def test_one_row_of_a_key_whatever_the_order(spark):
+    rows = [(1, "a", None), (1, "b", 2), (1, "b", 2), (None, "c", 3), (None, None, None), (2, "d", 4)]
+    take = lambda r: sorted(map(tuple, one_each(spark.createDataFrame(r, "k long, v string, n int").repartition(3), ["k"]).collect()), key=repr)
+    got = take(rows)
+    assert got == take(rows[::-1]) and len(got) == 3 and set(got) <= set(rows)
+    assert take(rows[:0]) == []
