@@ -37,9 +37,13 @@ def counts(text: bytes) -> np.ndarray:
     return np.bincount(g, minlength=BINS)
 
 
+#: Logarithms of small counts, looked up.
+LOGS = np.log1p(np.arange(1 << 16))
+
+
 def damped(n: np.ndarray) -> np.ndarray:
     """Logarithms of rows of counts, each row of unit length."""
-    x = np.log1p(n)
+    x = LOGS[n] if n.max(initial=0) < len(LOGS) else np.log1p(n)
     return x / np.maximum(np.sqrt((x * x).sum(-1, keepdims=True)), 1e-12)
 
 
@@ -55,15 +59,24 @@ def token_count(text: bytes) -> int:
     return int((~space[1:] & space[:-1]).sum() + (len(b) > 0 and not space[0]))
 
 
+#: Type of the counts of a row by its bytes.
+WIDTHS = {BINS: np.uint8, 2 * BINS: np.uint16, 8 * BINS: np.int64}
+
+
+def _packed(n: np.ndarray) -> bytes:
+    top = n.max()
+    return n.astype(np.uint8 if top < 1 << 8 else np.uint16 if top < 1 << 16 else np.int64).tobytes()
+
+
 def _profiles(docs: DataFrame) -> DataFrame:
-    """id, tie, n: counts of each text of three bytes or more, in 16 bits each where they fit, else in 64."""
+    """id, tie, n: counts of each text of three bytes or more, in 8 or 16 bits each where they fit, else in 64."""
 
     def run(batches):
         for batch in batches:
             t = list(texts(batch.column(2)))
             use = np.array([len(x) >= 3 for x in t], dtype=bool)
             n = [counts(x) for x, u in zip(t, use, strict=True) if u]
-            packed = pa.array([(x.astype(np.uint16) if x.max() < 1 << 16 else x.astype(np.int64)).tobytes() for x in n], type=pa.binary())
+            packed = pa.array([_packed(x) for x in n], type=pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(use)), batch.column(1).filter(pa.array(use)), packed], names=["id", "tie", "n"])
 
     last = F.lit(2**63 - 1)
@@ -72,14 +85,21 @@ def _profiles(docs: DataFrame) -> DataFrame:
 
 
 def _unpacked(n: bytes) -> np.ndarray:
-    return np.frombuffer(n, dtype=np.uint16 if len(n) == 2 * BINS else np.int64).astype(np.int64)
+    return np.frombuffer(n, dtype=WIDTHS[len(n)]).astype(np.int64)
+
+
+#: Rows whose profiles are computed at once, to stay in a core's cache.
+SLICE = 64
 
 
-def _slices(column, rows: int = 512):
+def _slices(column):
     """First row and damped profiles of each slice of a batch."""
     held = list(texts(column))
-    for lo in range(0, len(held), rows):
-        yield lo, damped(np.array([_unpacked(n) for n in held[lo : lo + rows]]))
+    for lo in range(0, len(held), SLICE):
+        n = np.empty((len(held[lo : lo + SLICE]), BINS), dtype=np.int64)
+        for i, row in enumerate(held[lo : lo + SLICE]):
+            n[i] = np.frombuffer(row, dtype=WIDTHS[len(row)])
+        yield lo, damped(n)
 
 
 def _farthest(profiles: DataFrame, chosen: np.ndarray):
@@ -110,11 +130,10 @@ def _sums(profiles: DataFrame, c: np.ndarray, most_sums: int = 64) -> np.ndarray
     def run(batches):
         total = np.zeros(c.shape, dtype=np.int64)
         for batch in batches:
-            for _, x in _slices(batch.column(2)):
-                to = np.round(x @ c.T, 9).argmax(1)
-                whole = np.rint(x * 2.0**32).astype(np.int64)
-                for k in np.unique(to):
-                    total[k] += whole[to == k].sum(0)
+            for _, x in _slices(batch.column(0)):
+                member = np.round(x @ c.T, 9).argmax(1) == np.arange(len(c))[:, None]
+                # a slice's sums stay under 2^53, so floats hold them exactly
+                total += (member.astype(np.float64) @ np.rint(x * 2.0**32)).astype(np.int64)
         yield from emit(total)
 
     def merge(batches):
@@ -124,7 +143,7 @@ def _sums(profiles: DataFrame, c: np.ndarray, most_sums: int = 64) -> np.ndarray
                 total += np.frombuffer(b, dtype=np.int64).reshape(c.shape)
         yield from emit(total)
 
-    sums, parts = profiles.mapInArrow(run, "total binary"), profiles.rdd.getNumPartitions()
+    sums, parts = profiles.select("n").mapInArrow(run, "total binary"), profiles.rdd.getNumPartitions()
     if parts > most_sums:  # the driver gets at most so many sums, whatever the table's size
         sums = sums.repartition(most_sums).mapInArrow(merge, "total binary")
     return sum((np.frombuffer(r.total, dtype=np.int64).reshape(c.shape) for r in sums.collect()), np.zeros(c.shape, dtype=np.int64))
@@ -155,20 +174,23 @@ def topic_centroids(docs: DataFrame, topics: int = 8, rounds: int = 12) -> np.nd
     return c
 
 
-def describe(docs: DataFrame, fitted: np.ndarray) -> DataFrame:
-    """``docs`` with topic (-1 for texts too short to have one) and tokens."""
+def describe(docs: DataFrame, fitted: np.ndarray, keep_text: bool = True) -> DataFrame:
+    """``docs`` with topic (-1 for texts too short to have one) and tokens; without ``keep_text`` the text stays behind."""
     docs = without(docs, "topic", "tokens", "weight", "probability", "sampled")
+    kept = docs if keep_text else without(docs, "text")
+    names = kept.columns
 
     def run(batches):
         for batch in batches:
-            topic, tokens = [], []
-            for t in texts(batch.column(batch.schema.get_field_index("text"))):
-                x = profile(t)
-                topic.append(int((fitted @ x).argmax()) if x.any() else -1)
-                tokens.append(token_count(t))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(topic, type=pa.int32()), pa.array(tokens, type=pa.int64())], names=[*batch.schema.names, "topic", "tokens"])
-
-    return docs.mapInArrow(run, wider(docs, "topic int, tokens long"))
+            t = list(texts(batch.column(batch.schema.get_field_index("text"))))
+            topic = np.full(len(t), -1, dtype=np.int32)
+            for lo in range(0, len(t), SLICE):
+                n = np.array([counts(x) for x in t[lo : lo + SLICE]])
+                topic[lo : lo + SLICE] = np.where(n.any(1), np.round(damped(n) @ fitted.T, 9).argmax(1), -1)
+            tokens = pa.array([token_count(x) for x in t], type=pa.int64())
+            yield pa.RecordBatch.from_arrays([*[batch.column(batch.schema.get_field_index(c)) for c in names], pa.array(topic), tokens], names=[*names, "topic", "tokens"])
+
+    return docs.mapInArrow(run, wider(kept, "topic int, tokens long"))
 
 
 def rake(counts: np.ndarray, places: list[np.ndarray], targets: list[np.ndarray], rounds: int = 500, tolerance: float = 1e-9) -> np.ndarray:

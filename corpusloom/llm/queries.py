@@ -24,7 +24,7 @@ def op1_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     fitted = mixing.topic_centroids(docs)
-    described = mixing.describe(mixing.with_draw(docs), fitted).drop("text")
+    described = mixing.describe(mixing.with_draw(docs), fitted, keep_text=False)
     return mixing.mix(materialize(described, "described")).select("doc_id", "source", "lang", "topic", "tokens", "weight", "probability", "sampled")
 
 

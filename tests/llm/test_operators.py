@@ -95,6 +95,25 @@ def test_topics_are_fitted_on_all_documents(spark):
     assert np.array_equal(mixing._sums(profiles, got), mixing._sums(profiles, got, most_sums=2))
 
 
+def test_profiles_are_small_and_sums_exact(spark):
+    rng = np.random.default_rng(14)
+    rows = [(i, "".join(rng.choice(list("abcdefg "), int(rng.integers(3, 3000))))) for i in range(300)]
+    rows += [(300, "ab " * 400), (301, "ab " * 70_000), (302, "zz"), (303, None)]  # counts beyond 8 and 16 bits; too short
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    profiles = mixing._profiles(docs)
+    n = {i: mixing.counts(t.encode()) for i, t in rows if t and len(t) > 2}
+    got = {r.id: r.n for r in profiles.collect()}
+    assert got.keys() == n.keys() and all(np.array_equal(mixing._unpacked(got[i]), n[i]) for i in n)
+    assert {len(got[i]) for i in range(300)} == {mixing.BINS} and len(got[300]) == 2 * mixing.BINS and len(got[301]) == 8 * mixing.BINS
+    x = np.log1p(np.array(list(n.values())))
+    x /= np.sqrt((x * x).sum(1, keepdims=True))
+    to, whole = np.round(x @ x[:5].T, 9).argmax(1), np.rint(x * 2.0**32).astype(np.int64)
+    assert np.array_equal(mixing._sums(profiles, x[:5]), np.array([whole[to == k].sum(0) for k in range(5)]))
+    described = mixing.describe(docs, x[:5], keep_text=False)
+    assert described.columns == ["doc_id", "topic", "tokens"]
+    assert {r.doc_id: (r.topic, r.tokens) for r in described.collect()} == {i: (int(to[list(n).index(i)]) if i in n else -1, len((t or "").split())) for i, t in rows}
+
+
 def test_mixing_rakes_every_category(spark):
     rng = np.random.default_rng(13)
     rows = [(i, f"s{int(240 * rng.random() ** 2)}", ["en", "fr", None][int(rng.integers(3))], int(rng.integers(2)), int(rng.integers(1, 400)), float(rng.random())) for i in range(4000)]
