@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as T
+from corpusloom.functions.pieces import pieces
 
 END = "<|endoftext|>"
 
@@ -24,15 +30,32 @@ def delimited(docs: DataFrame, order: str = "doc_id", keep: tuple[str, ...] = ()
     return docs.orderBy(order).select(*keep, F.concat(F.coalesce("text", F.lit("")), F.lit("\n" + END)).alias("value"))
 
 
+@lru_cache(2)
+def _tokenizer(vocabulary: str):
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(vocabulary)
+
+
+def _ids_of(batches: Iterator[pa.Array], made) -> Iterator[pa.Array]:
+    """Piece by piece and text by text: what the library keeps of a token besides its id is many times its text."""
+    for piece in chain.from_iterable(map(pieces, batches)):
+        ids = [np.array(made.encode(v.as_py() or "", add_special_tokens=False).ids, dtype=np.int32) for v in piece]
+        ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+        yield pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))
+
+
+def _texts_of(batches: Iterator[pa.Array], made) -> Iterator[pa.Array]:
+    for piece in chain.from_iterable(map(pieces, batches)):
+        yield pa.array([made.decode(v.as_py() or [], skip_special_tokens=False) for v in piece], type=pa.string())
+
+
 def encoded(text: Column, vocabulary: str) -> Column:
     """Ids of a text by a tokenizer file; an end mark in the text is its own id. Null is no ids."""
 
-    @F.pandas_udf("array<int>")
-    def run(t: pd.Series) -> pd.Series:
-        from tokenizers import Tokenizer
-
-        made = Tokenizer.from_file(vocabulary)
-        return pd.Series([x.ids for x in made.encode_batch([v or "" for v in t], add_special_tokens=False)])
+    @F.arrow_udf("array<int>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from _ids_of(batches, _tokenizer(vocabulary))
 
     return run(text)
 
@@ -40,12 +63,9 @@ def encoded(text: Column, vocabulary: str) -> Column:
 def decoded(ids: Column, vocabulary: str) -> Column:
     """The text of ids, end marks included."""
 
-    @F.pandas_udf("string")
-    def run(column: pd.Series) -> pd.Series:
-        from tokenizers import Tokenizer
-
-        made = Tokenizer.from_file(vocabulary)
-        return pd.Series(made.decode_batch([list(map(int, v)) if v is not None else [] for v in column], skip_special_tokens=False))
+    @F.arrow_udf("string")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from _texts_of(batches, _tokenizer(vocabulary))
 
     return run(ids)
 
