@@ -351,7 +351,7 @@ def linkage_blocks(spark, sf_dir):
 
 @query("SELECT a.p_partkey AS a, b.p_partkey AS b, levenshtein(a.p_name, b.p_name)::BIGINT AS distance FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_size = b.p_size AND a.p_partkey < b.p_partkey WHERE levenshtein(a.p_name, b.p_name) <= 2")
 def linkage_pairs(spark, sf_dir):
-    return I.linkage_pairs(read(spark, sf_dir, "part"), "p_partkey", "p_name", F.concat_ws("|", "p_brand", F.col("p_size").cast("string")))
+    return I.linkage_pairs(read(spark, sf_dir, "part"), "p_partkey", "p_name", F.concat("p_brand", F.lit("|"), F.col("p_size").cast("string")))
 
 
 @query("SELECT p_brand, arg_max(p_partkey, (p_size, -p_partkey)) AS best, max(p_retailprice) AS price, count(*)::BIGINT AS members FROM part GROUP BY p_brand")
