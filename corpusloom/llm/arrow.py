@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusloom.functions.pieces import pieces
+
 
 def texts(column) -> Iterator[bytes]:
     """UTF-8 bytes of each row of a string column, without decoding; null counts as empty."""
@@ -28,6 +30,14 @@ def texts(column) -> Iterator[bytes]:
             yield bytes(data[offsets[i] : offsets[i + 1]])
 
 
+def slices(batch: pa.RecordBatch, column: int, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """A batch's rows in order, about ``most`` bytes of a string column at a time: what is sent back at once has a bound too."""
+    lo = 0
+    for piece in pieces(batch.column(column), most, 4096):
+        yield batch.slice(lo, len(piece))
+        lo += len(piece)
+
+
 def without(df: DataFrame, *names: str) -> DataFrame:
     """``df`` without the columns of these names in any case, so that new ones can take the names."""
     gone = {n.lower() for n in names}

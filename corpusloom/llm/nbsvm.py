@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.arrow import texts, wider, without
+from corpusloom.llm.arrow import slices, texts, wider, without
 from corpusloom.llm.training import class_shares, held_out, labelled_sample
 
 BITS = 16
@@ -202,8 +202,9 @@ def score_quality(docs: DataFrame, labels: DataFrame, modulus: int = 4, remainde
     def run(batches):
         for batch in batches:
             at = batch.schema.get_field_index("text")
-            scores = pa.array([model.score(t) for t in texts(batch.column(at))], type=pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, scores], names=[*batch.schema.names, "score"])
+            for part in slices(batch, at):
+                scores = pa.array([model.score(t) for t in texts(part.column(at))], type=pa.float64())
+                yield pa.RecordBatch.from_arrays([*part.columns, scores], names=[*part.schema.names, "score"])
 
     kept = without(docs, "held_out", "score", "predicted").withColumn("held_out", held_out(modulus, remainder))
     scored = kept.mapInArrow(run, wider(kept, "score double"))

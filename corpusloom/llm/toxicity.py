@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.arrow import texts, wider, without
+from corpusloom.llm.arrow import slices, texts, wider, without
 from corpusloom.llm.training import class_shares, held_out, labelled_sample
 
 #: Runs of ASCII letters and digits and of any characters beyond ASCII, in ASCII-lowered UTF-8.
@@ -42,6 +42,7 @@ GRAM_BITS = 15
 VECTOR_RATE, FLOOR = 10.0, 1e-4  # of the vectors' adaptive steps
 LANES = 512  # windows that step together: their states stay in the processor's cache
 DENSE_LANES = 4096  # the same where windows start at every word
+LEARNED = 4096  # words whose inputs are made at once
 MOST_BYTES = 80  # of one word; longer runs are pieces of PIECE bytes, one from every PIECE_STEP bytes on
 PIECE, PIECE_STEP = 48, 24
 
@@ -352,15 +353,17 @@ class Scorer:
     def __init__(self, net: Network, memory: int = 300_000):
         self.net, self.memory = net, memory
         self.rows: dict[bytes, int] = {}
-        self.table = np.zeros((1, 6 * HIDDEN), dtype=np.float32)
+        # rows take memory once they are written
+        self.table = np.empty((memory + LEARNED, 6 * HIDDEN), dtype=np.float32)
+        self.table[0] = 0
         self.used = 1
 
     def _learn(self, words: list[bytes]) -> None:
-        for lo in range(0, len(words), 20_000):
-            some = words[lo : lo + 20_000]
+        for lo in range(0, len(words), LEARNED):
+            some = words[lo : lo + LEARNED]
             new = self.net.project(self.net.vectors(some)[0])[1:]
             while self.used + len(new) > len(self.table):
-                self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+                self.table = np.concatenate([self.table, np.empty_like(self.table)])
             self.table[self.used : self.used + len(new)] = new
             self.rows.update(zip(some, range(self.used, self.used + len(new)), strict=True))
             self.used += len(new)
@@ -406,18 +409,10 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, modulus: int = 5, remaind
     def run(batches):
         scorer = Scorer(net)
         for batch in batches:
-            at, scores = batch.schema.get_field_index("text"), []
-            held: list[bytes] = []
-            chars = 0
-            for t in texts(batch.column(at)):
-                held.append(t)
-                chars += len(t)
-                if chars > 4_000_000:
-                    scores += scorer.score(held)
-                    held, chars = [], 0
-            if held:
-                scores += scorer.score(held)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, type=pa.float64())], names=[*batch.schema.names, "score"])
+            at = batch.schema.get_field_index("text")
+            for part in slices(batch, at):
+                scores = scorer.score(list(texts(part.column(at))))
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scores, type=pa.float64())], names=[*part.schema.names, "score"])
 
     kept = without(docs, "held_out", "score", "predicted").withColumn("held_out", held_out(modulus, remainder))
     scored = kept.mapInArrow(run, wider(kept, "score double"))
